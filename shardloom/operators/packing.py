@@ -89,23 +89,32 @@ def shard_tokens(
     documents outside the wanted shards are dropped before it. Every shard is whole and in
     order inside one partition, and partitions get equally many shards.
     """
-    low, high, count = cuts.agg(F.min("shard_id"), F.max("shard_id"), F.count("*")).first()
-    if count <= MAX_BROADCAST_CUTS:
-        return _assemble(tokens, cuts, codec, keep)
+    wanted = cuts.select(*CUT_COLUMNS)
+    table = _collected(wanted.limit(MAX_BROADCAST_CUTS + 1))
+    if len(table) <= MAX_BROADCAST_CUTS:
+        return _assemble(tokens, table, codec, keep)
+    low, high = wanted.agg(F.min("shard_id"), F.max("shard_id")).first()
     rounds = [
-        _assemble(
-            tokens, cuts.filter(F.col("shard_id").between(at, at + MAX_BROADCAST_CUTS - 1)),
-            codec, keep,
-        )
+        F.col("shard_id").between(at, at + MAX_BROADCAST_CUTS - 1)
         for at in range(low, high + 1, MAX_BROADCAST_CUTS)
     ]
-    return reduce(DataFrame.union, rounds)
+    return reduce(
+        DataFrame.union,
+        [_assemble(tokens, _collected(wanted.filter(part)), codec, keep) for part in rounds],
+    )
+
 
+def _collected(cuts: DataFrame) -> np.ndarray:
+    """Cuts by rising shard id, one column per name in ``CUT_COLUMNS``."""
+    table = np.array([tuple(row) for row in cuts.collect()], np.int64)
+    table = table.reshape(-1, len(CUT_COLUMNS))
+    return table[np.argsort(table[:, 0], kind="stable")]
 
-def _assemble(tokens: DataFrame, cuts: DataFrame, codec, keep: tuple[str, ...]) -> DataFrame:
+
+def _assemble(
+    tokens: DataFrame, table: np.ndarray, codec, keep: tuple[str, ...]
+) -> DataFrame:
     spark = tokens.sparkSession
-    rows = cuts.select(*CUT_COLUMNS).orderBy("shard_id").collect()
-    table = np.array([tuple(row) for row in rows], np.int64).reshape(-1, len(CUT_COLUMNS))
     parallel = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
     )

@@ -66,9 +66,9 @@ def build(
         if vocab.staged:
             # Counting tokens costs a tokenization here: do it once and keep the result.
             tokens = written(tokens, "tokens")
-        lengths = written(tokens.select("pos", "id", "n"), "lengths")
         _drop(f"{dst}/{PLAN}")
-        shard_manifest(token_offsets(lengths), shard_size, layout).write.parquet(plan_path)
+        offsets = token_offsets(tokens.select("pos", "id", "n"))
+        shard_manifest(offsets, shard_size, layout).write.parquet(plan_path)
     plan = spark.read.parquet(plan_path)
 
     todo = plan
@@ -129,14 +129,13 @@ def adopt(plan: DataFrame, dst: str, shard_size: int = SHARD_SIZE) -> None:
     adopted = unrecorded.filter(right_length).drop("length").withColumns(
         {"token_sum": unknown, "checksum": unknown, "status": F.lit("adopted")}
     )
-    record(adopted, dst, shard_size)
+    if not adopted.isEmpty():
+        record(adopted, dst, shard_size)
 
 
 def record(shards: DataFrame, dst: str, shard_size: int) -> None:
     """Append published shards to the manifest, then their checkpoints."""
     rows = shards.withColumn("recorded", F.current_timestamp())
-    if rows.isEmpty():
-        return
     rows.write.mode("append").parquet(f"{dst}/{MANIFEST}")
     append_checkpoint(checkpoint_log(shards, shard_size), f"{dst}/{CHECKPOINTS}")
 

@@ -12,6 +12,9 @@ from shardloom.session import written
 
 SOURCE_ORDER = "source"
 
+# What a stream carries in place of file metadata, in the order files and rows arrived.
+ARRIVAL_COLUMNS = ("source_time", "source_path", "source_row")
+
 # A file's rows take the low bits of the position, the file's rank the high ones.
 ROW_BITS = 40
 
@@ -47,7 +50,10 @@ def corpus(
 
 
 def positioned(
-    df: DataFrame, order_by: str | Sequence[str] | None, keep: Sequence[Column | str] = ("*",)
+    df: DataFrame,
+    order_by: str | Sequence[str] | None,
+    keep: Sequence[Column | str] = ("*",),
+    path: str | None = None,
 ) -> DataFrame:
     """Add ``pos`` to the columns in ``keep``.
 
@@ -56,27 +62,32 @@ def positioned(
     * anything else: the row's place in the sorted corpus, by one range-partitioned sort that
       is written once; equal keys are ordered by the kept columns, so runs agree;
     * ``None``: the order rows happen to arrive in, written once for the same reason.
+
+    ``path`` is where rows are written, the scratch folder by default.
     """
     if order_by is None:
         arrived = df.select(F.monotonically_increasing_id().alias("pos"), *keep)
-        return written(arrived, "arrival")
+        return written(arrived, "arrival", path)
     if order_by == SOURCE_ORDER:
-        return _source_positions(df, keep)
+        if not set(ARRIVAL_COLUMNS) <= set(df.columns):
+            return _source_positions(df, keep)
+        order_by = ARRIVAL_COLUMNS
     names = [order_by] if isinstance(order_by, str) else list(order_by)
     if len(names) == 1 and isinstance(
         df.schema[names[0]].dataType, (LongType, IntegerType, ShortType)
     ):
         return df.select(F.col(names[0]).cast("bigint").alias("pos"), *keep)
-    return _sorted_positions(df, names, keep)
+    return _sorted_positions(df, names, keep, path)
 
 
 def _sorted_positions(
-    df: DataFrame, names: Sequence[str], keep: Sequence[Column | str]
+    df: DataFrame, names: Sequence[str], keep: Sequence[Column | str], path: str | None
 ) -> DataFrame:
     keys = [f"_key{i}" for i in range(len(names))]
     keyed = df.select(*[F.col(n).alias(k) for n, k in zip(names, keys, strict=True)], *keep)
     ranged = keyed.repartitionByRange(*keys).sortWithinPartitions(*keyed.columns).drop(*keys)
-    ordered = written(ranged.select(F.monotonically_increasing_id().alias("_at"), *ranged.columns), "sorted")
+    numbered = ranged.select(F.monotonically_increasing_id().alias("_at"), *ranged.columns)
+    ordered = written(numbered, "sorted", path)
     # The id is a partition number and a row number; partitions follow each other in key
     # order, so their sizes, one row each, turn it into the place in the whole corpus.
     part = F.shiftright("_at", PARTITION_ROW_BITS)
@@ -112,8 +123,16 @@ def file_ranks(df: DataFrame) -> DataFrame:
 def corpus_stream(
     spark: SparkSession, path: str, schema, max_files: int = 16, glob: str | None = None
 ) -> DataFrame:
-    """The corpus as files arrive, ``max_files`` of them per micro-batch, oldest first."""
+    """The corpus as files arrive, ``max_files`` of them per micro-batch, oldest first.
+
+    ``ARRIVAL_COLUMNS`` are added; give a ``schema`` of just the columns needed.
+    """
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.parquet(path)
+    return reader.parquet(path).select(
+        "*",
+        F.col("_metadata.file_modification_time").alias("source_time"),
+        F.col("_metadata.file_path").alias("source_path"),
+        F.col("_metadata.row_index").alias("source_row"),
+    )

@@ -72,11 +72,11 @@ class StreamPacker:
             arrived = self._arrivals(batch, folder)
             tokens = arrived if tokens is None else tokens.unionByName(arrived)
 
-        lengths = written(tokens.drop("body"), "lengths", f"{folder}/lengths")
-        carried, total = lengths.agg(F.count("doc_no"), F.count("*")).first()
+        offsets = written(token_offsets(tokens.drop("body")), "offsets", f"{folder}/offsets")
+        carried, total = offsets.agg(F.count("doc_no"), F.count("*")).first()
         # Documents keep the number they got on arrival, left-over ones included.
         number = F.coalesce("doc_no", F.col("ordinal") + F.lit(docs_seen - carried))
-        offsets = token_offsets(lengths).withColumn("ordinal", number)
+        offsets = offsets.withColumn("ordinal", number)
         manifest = shard_manifest(offsets, self.shard_size, self.layout)
         shifted = manifest.withColumn("shard_id", F.col("shard_id") + next_shard)
         shards = written(with_layout(shifted, self.layout), "shards", f"{folder}/shards")
@@ -100,7 +100,8 @@ class StreamPacker:
 
     def _arrivals(self, batch: DataFrame, folder: str) -> DataFrame:
         keep = [F.col(self.id_col).alias("id"), F.col(self.text_col).alias("text")]
-        tokens = self.vocab.tokenized(positioned(batch, self.order_by, keep), self.eot)
+        placed = positioned(batch, self.order_by, keep, f"{folder}/arrivals")
+        tokens = self.vocab.tokenized(placed, self.eot)
         zero = F.lit(0).cast("bigint")
         body = self.codec.payload(self.codec.cut(F.col("body"), zero, F.col("n")), zero)
         packed = tokens.select(
