@@ -58,9 +58,14 @@ def exclusive_totals(df: DataFrame, key: str, totals: dict[str, str]) -> DataFra
             }
         )
     )
+    low, high, about = _bucket_span(df, key)
+    if low == high:  # at most one bucket: local totals are the totals
+        return local.select(
+            *df.columns, *[(F.col(f"_{out}") - F.col(column)).alias(out) for out, column in totals.items()]
+        )
     # The last local total of a bucket is its greatest: no row is aggregated twice.
     buckets = local.groupBy("_bucket").agg(*[F.max(f"_{out}").alias(out) for out in totals])
-    if _bucket_count(df, key) <= MAX_ROOT_BUCKETS:
+    if about <= MAX_ROOT_BUCKETS:
         before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
         bases = buckets.select(
             "_bucket",
@@ -82,7 +87,7 @@ def exclusive_totals(df: DataFrame, key: str, totals: dict[str, str]) -> DataFra
     )
 
 
-def _bucket_count(df: DataFrame, key: str) -> int:
-    # Reads the key column only. An estimate will do: it picks a strategy, not a result.
+def _bucket_span(df: DataFrame, key: str) -> tuple[int | None, int | None, int]:
+    """First and last bucket, and about how many there are; reads the key column only."""
     bucket = F.shiftright(key, BUCKET_BITS)
-    return df.agg(F.approx_count_distinct(bucket).alias("n")).first().n
+    return tuple(df.agg(F.min(bucket), F.max(bucket), F.approx_count_distinct(bucket)).first())

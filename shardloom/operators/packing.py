@@ -6,7 +6,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shardloom.functions.naming import ThreeWay, TwoWay, with_layout
@@ -79,6 +79,13 @@ def progress(manifest: DataFrame, shard_size: int = SHARD_SIZE) -> DataFrame:
     )
 
 
+def observed(tokens: DataFrame, name: str = "progress") -> tuple[DataFrame, Observation]:
+    """``tokens`` and the documents and tokens counted as an action passes over them."""
+    counts = Observation(name)
+    rows = tokens.observe(counts, F.count("*").alias("documents"), F.sum("n").alias("tokens"))
+    return rows, counts
+
+
 def shard_tokens(
     tokens: DataFrame, cuts: DataFrame, codec, keep: tuple[str, ...] = ()
 ) -> DataFrame:

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from shardloom.operators.offsets import exclusive_totals
 
+# Up to here the first rows are found by a top-n; beyond, by counting.
+MAX_TOP = 100_000
+
 
 def filter_contains(df: DataFrame, needle: str, text_col: str = "text") -> DataFrame:
     return df.filter(F.col(text_col).contains(needle))
@@ -20,24 +23,40 @@ def filter_rows(df: DataFrame, predicate: Column) -> DataFrame:
 
 
 def numbered(df: DataFrame, pos: str = "pos") -> DataFrame:
-    """Add ``ordinal``, each row's place in ``pos`` order; only the key is shuffled."""
-    keys = df.select(pos).withColumn("_one", F.lit(1).cast("bigint"))
-    return df.join(exclusive_totals(keys, pos, {"ordinal": "_one"}).select(pos, "ordinal"), pos)
+    """Add ``ordinal``, each row's place in ``pos`` order, counted from 0."""
+    counted = df.withColumn("_one", F.lit(1).cast("bigint"))
+    return exclusive_totals(counted, pos, {"ordinal": "_one"}).drop("_one")
 
 
-def skip(df: DataFrame, n: int, pos: str = "pos") -> DataFrame:
-    """All rows but the first ``n``: finds the position of row ``n`` and filters on it.
+def nth_position(df: DataFrame, n: int, pos: str = "pos") -> int | None:
+    """The position of row ``n``, counted from 0; None when there are not that many rows.
 
-    Nothing is sorted beyond the ``n + 1`` smallest keys, and the filter reaches the scan.
+    Reads the key column only: the smallest keys for a small ``n``, running counts for a
+    large one, so that no task holds more than ``MAX_TOP`` keys.
     """
+    keys = df.select(pos)
+    if n < MAX_TOP:
+        edge = keys.orderBy(pos).limit(n + 1).agg(F.max(pos).alias("at"), F.count("*").alias("n"))
+        found = edge.filter(F.col("n") > n).first()
+    else:
+        found = numbered(keys, pos).filter(F.col("ordinal") == n).select(
+            F.col(pos).alias("at")
+        ).first()
+    return None if found is None else found.at
+
+
+def skip(df: DataFrame, n: int, pos: str = "pos") -> DataFrame:
+    """All rows but the first ``n``, by a filter on the position that reaches the scan."""
     if n <= 0:
         return df
-    edge = df.select(pos).orderBy(pos).limit(n + 1).agg(F.max(pos), F.count("*")).first()
-    return df.filter(F.col(pos) >= edge[0]) if edge[1] > n else df.limit(0)
+    edge = nth_position(df, n, pos)
+    return df.filter(F.lit(False) if edge is None else F.col(pos) >= edge)
 
 
 def take(df: DataFrame, n: int, pos: str = "pos") -> DataFrame:
-    return df.orderBy(pos).limit(n)
+    """The first ``n`` rows, by a filter on the position that reaches the scan."""
+    edge = nth_position(df, n, pos)
+    return df if edge is None else df.filter(F.col(pos) < edge)
 
 
 def position_of(df: DataFrame, doc_id, pos: str = "pos", id_col: str = "id") -> int:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import io
 import os
 import tempfile
 import uuid
@@ -13,33 +14,46 @@ from pyspark.sql import DataFrame, SparkSession
 from shardloom.sources.paths import resolve
 
 _shipped: set[str] = set()
+_registered: set[str] = set()
 _scratch_dirs: list[str] = []
 
 
 def attach(spark: SparkSession) -> SparkSession:
-    """Make the package importable in every Python worker of this application.
+    """Make the package importable in every Python worker and register its data source.
 
-    Same effect as ``--py-files``; it lets a driver that found the package through its own
-    ``sys.path`` run the Arrow functions and the ``tokenshard`` source on executors.
+    The first is what ``--py-files`` does; here it also serves a driver that found the
+    package through its own ``sys.path``.
     """
     context = spark.sparkContext
     if context.applicationId not in _shipped:
-        root = os.path.dirname(os.path.abspath(__file__))
-        archive = os.path.join(tempfile.mkdtemp(prefix="shardloom-"), "shardloom.zip")
-        with zipfile.ZipFile(archive, "w") as bundle:
-            for folder, _, names in os.walk(root):
-                for name in names:
-                    if name.endswith(".py"):
-                        full = os.path.join(folder, name)
-                        bundle.write(full, os.path.relpath(full, os.path.dirname(root)))
-        context.addPyFile(archive)
+        folder = scratch(spark, "package")
+        fs, path = resolve(folder)
+        fs.create_dir(path, recursive=True)
+        with fs.open_output_stream(f"{path}/shardloom.zip") as out:
+            out.write(_archive())
+        context.addPyFile(f"{folder}/shardloom.zip")
         _shipped.add(context.applicationId)
-    from shardloom.sources.npy import TokenShardSource
+    session = spark._jsparkSession.sessionUUID()
+    if session not in _registered:
+        from shardloom.sources.npy import TokenShardSource
 
-    spark.dataSource.register(TokenShardSource)
+        spark.dataSource.register(TokenShardSource)
+        _registered.add(session)
     return spark
 
 
+def _archive() -> bytes:
+    root = os.path.dirname(os.path.abspath(__file__))
+    content = io.BytesIO()
+    with zipfile.ZipFile(content, "w") as bundle:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    bundle.write(full, os.path.relpath(full, os.path.dirname(root)))
+    return content.getvalue()
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, the storage every executor can reach.
 

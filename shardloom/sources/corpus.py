@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, ShortType
 
+from shardloom.operators.rows import take
 from shardloom.session import written
 
 SOURCE_ORDER = "source"
@@ -35,7 +36,7 @@ def corpus(
     glob: str | None = None,
     limit: int | None = None,
 ) -> DataFrame:
-    """``(pos, id, text)`` of a Parquet corpus, whole or capped to its first ``limit`` rows.
+    """``(pos, id, text)`` of a Parquet corpus, whole or only its first ``limit`` rows.
 
     ``path`` may be a sub-corpus folder, one dump's folder, a glob or several of these.
     ``order_by`` is ``"source"`` (file path, then row), column names, or ``None`` for
@@ -46,7 +47,7 @@ def corpus(
         reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
     df = reader.parquet(*([path] if isinstance(path, str) else path))
     df = positioned(df, order_by, keep=[F.col(id_col).alias("id"), F.col(text_col).alias("text")])
-    return df if limit is None else df.orderBy("pos").limit(limit)
+    return df if limit is None else take(df, limit)
 
 
 def positioned(

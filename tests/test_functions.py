@@ -159,3 +159,29 @@ def test_scratch_is_where_the_session_says(spark):
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if base:
         assert scratch(spark, "x").startswith(base)
+
+
+def test_skip_and_take_beyond_a_top_n(spark, monkeypatch):
+    monkeypatch.setattr(rows, "MAX_TOP", 5)
+    df = spark.range(50).select((F.col("id") * 3).alias("pos")).repartition(3)
+    assert sorted(r.pos for r in rows.skip(df, 12).collect()) == list(range(36, 150, 3))
+    assert sorted(r.pos for r in rows.take(df, 12).collect()) == list(range(0, 36, 3))
+    assert rows.take(df, 99).count() == 50
+    assert rows.skip(df, 50).count() == 0
+
+
+def test_published_patterns():
+    from tiktoken_ext import openai_public
+
+    from shardloom.functions.vocab import GPT2_PATTERN
+
+    assert openai_public.r50k_pat_str == GPT2_PATTERN
+
+
+def test_observed_counts(spark):
+    from shardloom.operators.packing import observed
+
+    df = spark.createDataFrame([(1, 5), (2, 7)], "pos bigint, n bigint")
+    watched, counts = observed(df)
+    watched.collect()
+    assert counts.get == {"documents": 2, "tokens": 12}

@@ -183,7 +183,8 @@ def physical_plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_offsets_scan_once_and_never_sort_all_rows_in_one_task(spark):
+def test_offsets_scan_once_and_never_sort_all_rows_in_one_task(spark, monkeypatch):
+    monkeypatch.setattr(offsets_module, "BUCKET_BITS", 4)
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     corpus = docs.select(F.col("doc_id").alias("pos"), F.col("source").alias("id"), "text")
     offsets = token_offsets(VOCAB.tokenized(corpus).select("pos", "id", "n"))
