@@ -81,8 +81,11 @@ def build(
         todo = pending(todo, present(spark, dst).withColumnRenamed("name", "file_name"))
     elif resuming:
         todo = pending(todo, read_manifest(spark, dst))
-    publish(tokens, todo, vocab.codec(eot), dst, shard_size, layout, mode)
-    adopt(plan, dst, shard_size)
+    left = todo.count()
+    if left:
+        publish(tokens, todo, vocab.codec(eot), dst, shard_size, layout, mode)
+    if left < plan.count():
+        adopt(plan, dst, shard_size)
     return read_manifest(spark, dst)
 
 
