@@ -8,7 +8,9 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shardloom.functions.arrays import CHECKSUM_MODULUS
@@ -55,6 +57,7 @@ SEEK_ID = 100
 # A pre-split pattern that means the same in Java and in RE2.
 PIECES = r" ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
 TOP = 1000
+PAIRS = 200
 MANIFEST_COLUMNS = [
     "shard_id", "split", "split_index", "file_name", "n_tokens", "n_docs", "first_doc",
     "last_doc", "docs_consumed", "first_from", "last_to",
@@ -157,8 +160,9 @@ def split_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unordered_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    attach(spark)
     docs = corpus(spark, _table(sf_dir, "documents"), "doc_id", "text", None)
-    offsets = token_offsets(BYTES.tokenized(attach(spark) and docs).select("pos", "id", "n"))
+    offsets = token_offsets(BYTES.tokenized(docs).select("pos", "id", "n"))
     return progress(shard_manifest(offsets, SHARD_SIZE, LAYOUT), SHARD_SIZE)
 
 
@@ -407,13 +411,14 @@ def frequent_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rank_vocab_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards under a byte-pair vocabulary: all bytes and the corpus's commonest letter pairs."""
     docs = _docs(spark, sf_dir)
-    pairs = top_pieces(piece_dictionary(docs, "[a-z][a-z]"), 200)
+    pairs = top_pieces(piece_dictionary(docs, "[a-z][a-z]"), PAIRS)
     ranks = scratch(spark, "ranks")
     singles = spark.range(256).select(
         F.unhex(F.lpad(F.hex("id"), 2, "0")).alias("piece"), F.col("id").alias("rank")
     )
-    merged = pairs.select("piece", F.rank().over(_by_count()).alias("rank")).select(
-        F.col("piece").cast("binary"), (F.col("rank") + 255).cast("bigint").alias("rank")
+    place = F.row_number().over(Window.orderBy(F.desc("count"), F.asc("piece")))  # of the pairs
+    merged = pairs.select(
+        F.col("piece").cast("binary").alias("piece"), (place + 255).cast("bigint").alias("rank")
     )
     singles.unionByName(merged).select(
         F.concat_ws(" ", F.base64("piece"), F.col("rank").cast("string"))
@@ -427,13 +432,6 @@ def rank_vocab_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_layout(digests, LAYOUT)
 
 
-def _by_count():
-    from pyspark.sql import Window
-
-    # Over the 200 pairs chosen above.
-    return Window.orderBy(F.desc("count"), F.asc("piece"))
-
-
 def count_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.count_by_key(spark.read.parquet(_table(sf_dir, "events")), "event_type")
 
@@ -448,9 +446,6 @@ def map_square(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def map_square_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import pyarrow as pa
-    import pyarrow.compute as pc
-
     def square(batch: pa.RecordBatch) -> pa.RecordBatch:
         number = batch.column("l_linenumber")
         return batch.append_column("square", pc.multiply(number, number))

@@ -16,7 +16,7 @@ from shardloom.operators.checkpoints import append_checkpoint, checkpoint_log
 from shardloom.operators.offsets import token_offsets
 from shardloom.operators.packing import SHARD_SIZE, shard_manifest, shard_tokens
 from shardloom.operators.rows import write_jsonl
-from shardloom.session import attach, written
+from shardloom.session import attach, scratch, written
 from shardloom.sources.corpus import SOURCE_ORDER, corpus
 from shardloom.sources.npy import REPORT_SCHEMA, npy_header, report_path
 from shardloom.sources.objects import list_objects, outcome, pending
@@ -62,10 +62,12 @@ def build(
     resuming = resume and _planned(dst, plan_path)
 
     tokens = vocab.tokenized(corpus(spark, src, id_col, text_col, order_by, glob), eot)
+    staged = None
     if not resuming:
         if vocab.staged:
             # Counting tokens costs a tokenization here: do it once and keep the result.
-            tokens = written(tokens, "tokens")
+            staged = scratch(spark, "tokens")
+            tokens = written(tokens, "tokens", staged)
         _drop(f"{dst}/{PLAN}")
         offsets = token_offsets(tokens.select("pos", "id", "n"))
         shard_manifest(offsets, shard_size, layout).write.parquet(plan_path)
@@ -86,6 +88,8 @@ def build(
         publish(tokens, todo, vocab.codec(eot), dst, shard_size, layout, mode)
     if left < plan.count():
         adopt(plan, dst, shard_size)
+    if staged:
+        _drop(staged)
     return read_manifest(spark, dst)
 
 

@@ -31,7 +31,7 @@ CARRY_BASE = -(1 << 40)
 
 @dataclass
 class StreamPacker:
-    """A ``foreachBatch`` function; call :meth:`finalize` once the stream has ended.
+    """A ``foreachBatch`` function; call :meth:`finalize` once the corpus is complete.
 
     Inside a batch ``order_by`` orders the documents (see ``positioned``); batches follow
     each other as they arrive.

@@ -13,7 +13,7 @@ from shardloom.session import attach
 @pytest.fixture(scope="session")
 def spark():
     builder = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master("local[8,3]")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "4")

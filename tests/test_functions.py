@@ -1,12 +1,15 @@
 import base64
 import os
+from collections import Counter
 from datetime import datetime
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
-import tiktoken
+import regex
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from shardloom.functions.naming import checkpoint_id, checkpoint_name, parse_checkpoint
 from shardloom.functions.tokens import check_ids, pack_u32
 from shardloom.functions.vocab import (
@@ -21,6 +24,7 @@ from shardloom.operators.checkpoints import latest_checkpoint, read_text_checkpo
 from shardloom.plans.build import build
 from shardloom.session import scratch
 from shardloom.sources.objects import list_objects, outcome, pending, read_text_objects
+from tests.packing import checksum
 from tests.test_jobs import shards_on_disk
 
 MERGES = [b"th", b"he", b"the", b" the", b"in", b"ing", b"\xc3\xa9", b"  ", b"an", b"and", b" and"]
@@ -40,12 +44,22 @@ def vocab(spark, tmp_path_factory):
     return RankVocab.from_ranks(spark, str(path), GPT4_PATTERN, EOT)
 
 
+def merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Byte-pair merging as defined: the neighbours of lowest rank first, until none is left."""
+    parts = [piece[i : i + 1] for i in range(len(piece))]
+    while True:
+        pairs = [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]
+        if not pairs:
+            return [ranks[part] for part in parts]
+        _, i = min(pairs)
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+
+
 def expected(text, eot=True):
-    encoder = tiktoken.Encoding(
-        "toy", pat_str=GPT4_PATTERN, mergeable_ranks=RANKS,
-        special_tokens={"<|endoftext|>": EOT},
-    )
-    return ([EOT] if eot else []) + encoder.encode_ordinary(text)
+    ids = [EOT] if eot else []
+    for piece in regex.findall(GPT4_PATTERN, text):
+        ids += merged(piece.encode(), RANKS)
+    return ids
 
 
 @pytest.mark.parametrize("eot", [True, False])
@@ -185,3 +199,34 @@ def test_observed_counts(spark):
     watched, counts = observed(df)
     watched.collect()
     assert counts.get == {"documents": 2, "tokens": 12}
+
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def test_rank_vocab_query_equals_brute_force(spark):
+    texts = pq.read_table(f"{SF_DIR}/documents.parquet").sort_by("doc_id")["text"].to_pylist()
+    pairs = Counter(pair for text in texts for pair in regex.findall("[a-z][a-z]", text))
+    best = sorted(pairs.items(), key=lambda item: (-item[1], item[0]))[: entry.PAIRS]
+    ranks = {bytes([i]): i for i in range(256)}
+    ranks |= {pair.encode(): 256 + i for i, (pair, _) in enumerate(best)}
+    known: dict[str, list[int]] = {}
+    stream = []
+    for text in texts:
+        stream.append(entry.GPT2_EOT)
+        for piece in regex.findall(entry.PIECES, text):
+            if piece not in known:
+                known[piece] = merged(piece.encode(), ranks)
+            stream += known[piece]
+    shards = [stream[i : i + entry.SHARD_SIZE] for i in range(0, len(stream), entry.SHARD_SIZE)]
+    rows_ = entry.queries()["rank_vocab_manifest"](spark, SF_DIR).orderBy("shard_id").collect()
+    assert [(r.n_tokens, r.token_sum, r.checksum) for r in rows_] == [
+        (len(s), sum(s), checksum(s)) for s in shards
+    ]
+
+
+def test_object_listing_query_equals_the_folder(spark):
+    rows_ = entry.queries()["object_listing"](spark, SF_DIR).collect()
+    assert [(r.name, r.length) for r in rows_] == [
+        ("documents.parquet", os.path.getsize(f"{SF_DIR}/documents.parquet"))
+    ]

@@ -3,7 +3,9 @@ import os
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from shardloom.functions.naming import ThreeWay
@@ -232,3 +234,20 @@ def test_empty_corpus(spark, folder):
     assert build_small(spark, f"{folder}/in", f"{folder}/out").count() == 0
     assert not list(Path(folder, "out").rglob("*.npy"))
     assert os.path.isdir(f"{folder}/out/plan")
+
+
+def test_retried_tasks_leave_no_trace(spark, source, folder):
+    """Every assembling task dies once, after it has staged rows."""
+    tokens, plan, codec = tokens_and_plan(spark, source)
+
+    @F.arrow_udf("binary")
+    def fragile(bodies: pa.Array) -> pa.Array:
+        if TaskContext.get().attemptNumber() == 0:
+            raise RuntimeError("lost")
+        return bodies
+
+    shaky = tokens.withColumn("body", fragile("body"))
+    report = publish(shaky, plan, codec, f"file://{folder}", SIZE, LAYOUT)
+    assert {row.status for row in report.collect()} == {"published"}
+    assert shards_on_disk(folder) == pack(DOCUMENTS, SIZE)[0]
+    assert not list(Path(folder, "_staging").rglob("*.npy"))

@@ -13,12 +13,12 @@ SIZE = 300
 LAYOUT = ThreeWay(2, 4)
 TEXTS = [f"document {i} é {'word ' * (i % 17)}" for i in range(48)] + ["z" * 700, "", "end"]
 DOCUMENTS = list(enumerate(TEXTS))
-FILES = 6
+FILES = 4
 
 
 @pytest.fixture
 def inbox(spark, folder):
-    """Six files whose modification times follow the documents."""
+    """Four files whose modification times follow the documents."""
     per_file = -(-len(DOCUMENTS) // FILES)
     for at in range(FILES):
         rows = DOCUMENTS[at * per_file : (at + 1) * per_file]
@@ -42,7 +42,7 @@ def run(spark, folder, inbox, max_files, **options):
     return pack_stream(stream, packer(spark, folder, **options), f"{folder}/query")
 
 
-@pytest.mark.parametrize("max_files,eot", [(1, True), (4, False)])
+@pytest.mark.parametrize("max_files,eot", [(1, True), (3, False)])
 def test_stream_equals_batch(spark, folder, inbox, max_files, eot):
     shards, checkpoints = pack(DOCUMENTS, SIZE, eot)
     manifest = run(spark, folder, inbox, max_files, eot=eot).orderBy("shard_id").collect()
