@@ -61,9 +61,9 @@ def build(
     plan_path = f"{dst}/{PLAN}/{fingerprint(spark, src, settings)}"
     resuming = resume and _planned(dst, plan_path)
 
-    tokens = vocab.tokenized(corpus(spark, src, id_col, text_col, order_by, glob), eot)
     staged = None
     if not resuming:
+        tokens = vocab.tokenized(corpus(spark, src, id_col, text_col, order_by, glob), eot)
         if vocab.staged:
             # Counting tokens costs a tokenization here: do it once and keep the result.
             staged = scratch(spark, "tokens")
@@ -83,8 +83,11 @@ def build(
         todo = pending(todo, present(spark, dst).withColumnRenamed("name", "file_name"))
     elif resuming:
         todo = pending(todo, read_manifest(spark, dst))
-    left = todo.count()
+    left, first, last = todo.agg(F.count("*"), F.min("first_pos"), F.max("last_pos")).first()
     if left:
+        if resuming:
+            rest = corpus(spark, src, id_col, text_col, order_by, glob, span=(first, last))
+            tokens = vocab.tokenized(rest, eot)
         publish(tokens, todo, vocab.codec(eot), dst, shard_size, layout, mode)
     if left < plan.count():
         adopt(plan, dst, shard_size)

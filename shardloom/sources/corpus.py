@@ -35,18 +35,26 @@ def corpus(
     order_by: str | Sequence[str] | None = SOURCE_ORDER,
     glob: str | None = None,
     limit: int | None = None,
+    span: tuple[int, int] | None = None,
 ) -> DataFrame:
     """``(pos, id, text)`` of a Parquet corpus, whole or only its first ``limit`` rows.
 
     ``path`` may be a sub-corpus folder, one dump's folder, a glob or several of these.
     ``order_by`` is ``"source"`` (file path, then row), column names, or ``None`` for
-    arrival order (see :func:`positioned`).
+    arrival order (see :func:`positioned`). ``span`` keeps the positions between two, both
+    included; in source order files outside it are not opened.
     """
     reader = spark.read
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
     df = reader.parquet(*([path] if isinstance(path, str) else path))
-    df = positioned(df, order_by, keep=[F.col(id_col).alias("id"), F.col(text_col).alias("text")])
+    keep = [F.col(id_col).alias("id"), F.col(text_col).alias("text")]
+    if order_by == SOURCE_ORDER:
+        df = _source_positions(df, keep, span)
+    else:
+        df = positioned(df, order_by, keep)
+    if span is not None:
+        df = df.filter(F.col("pos").between(*span))
     return df if limit is None else take(df, limit)
 
 
@@ -101,8 +109,14 @@ def _sorted_positions(
     )
 
 
-def _source_positions(df: DataFrame, keep: Sequence[Column | str]) -> DataFrame:
+def _source_positions(
+    df: DataFrame, keep: Sequence[Column | str], span: tuple[int, int] | None = None
+) -> DataFrame:
     ranks = file_ranks(df)
+    if span is not None:
+        inside = F.col("_rank").between(span[0] >> ROW_BITS, span[1] >> ROW_BITS)
+        edges = ranks.filter(inside).agg(F.min("_path"), F.max("_path")).first()
+        df = df.filter(F.col("_metadata.file_path").between(*edges))
     if len(df.inputFiles()) <= MAX_BROADCAST_FILES:
         ranks = F.broadcast(ranks)
     placed = df.select(

@@ -104,8 +104,13 @@ class StreamPacker:
         tokens = self.vocab.tokenized(placed, self.eot)
         zero = F.lit(0).cast("bigint")
         body = self.codec.payload(self.codec.cut(F.col("body"), zero, F.col("n")), zero)
+        below = F.raise_error(F.lit("a stream's positions must not be negative"))
         packed = tokens.select(
-            "pos", "id", "n", body.alias("body"), F.lit(None).cast("bigint").alias("doc_no")
+            F.when(F.col("pos") < 0, below).otherwise(F.col("pos")).alias("pos"),
+            "id",
+            "n",
+            body.alias("body"),
+            F.lit(None).cast("bigint").alias("doc_no"),
         )
         # An encoder's output is kept rather than computed again in every pass.
         return written(packed, "tokens", f"{folder}/tokens") if self.vocab.staged else packed

@@ -196,6 +196,15 @@ def test_orders(spark, source, folder):
     assert arrival.select("pos").distinct().count() == len(DOCUMENTS)
 
 
+def test_a_span_in_source_order_opens_only_its_files(spark, source):
+    whole = corpus(spark, source).collect()
+    low, high = sorted(row.pos for row in whole)[25], sorted(row.pos for row in whole)[35]
+    part = corpus(spark, source, span=(low, high))
+    assert {row.id for row in part.collect()} == {row.id for row in whole if low <= row.pos <= high}
+    scan = part.select("text")._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert "file_path" in scan.toString()
+
+
 def test_corpus_scans(spark, source):
     assert corpus(spark, f"{source}/part=1").count() == 20
     assert corpus(spark, f"{source}/*/*.parquet").count() == 60
