@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +11,10 @@ import pyarrow as pa
 # Fixed value: modulus of the position-weighted checksum (the Mersenne prime 2^31 - 1).
 CHECKSUM_MODULUS = (1 << 31) - 1
 
-_STEP = 1 << 20
+# Tokens digested at a time: small enough to stay in cache, and for a step's weighted sum,
+# below 2^14 x 2^14 x 2^32, to fit in 64 bits.
+_STEP = 1 << 14
+_RAMP = np.arange(_STEP, dtype=np.int64)
 
 
 def runs(keys: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -29,12 +33,13 @@ def binary_parts(column: pa.Array) -> tuple[np.ndarray, pa.Buffer | None]:
 
 
 def token_run(payload: pa.Array, lo: int, hi: int, width: int) -> np.ndarray:
-    """Tokens of rows ``[lo, hi)``: neighbouring rows share one buffer, so this is a view."""
+    """Tokens of rows ``[lo, hi)`` in native order; neighbouring rows share one buffer."""
     bounds, data = binary_parts(payload)
     size = int(bounds[hi] - bounds[lo])
     if size == 0:
-        return np.empty(0, dtype=f">u{width}")
-    return np.frombuffer(data, dtype=f">u{width}", count=size // width, offset=int(bounds[lo]))
+        return np.empty(0, dtype=f"=u{width}")
+    packed = np.frombuffer(data, f"=u{width}", count=size // width, offset=int(bounds[lo]))
+    return packed.byteswap() if sys.byteorder == "little" else packed
 
 
 def lists_of(bounds: np.ndarray, values: np.ndarray) -> pa.Array:
@@ -58,13 +63,11 @@ class ShardDigest:
     def add(self, tokens: np.ndarray) -> None:
         for at in range(0, len(tokens), _STEP):
             part = tokens[at : at + _STEP].astype(np.int64)
-            place = np.arange(self.count + 1, self.count + 1 + len(part), dtype=np.int64)
-            if self.count + len(part) >= CHECKSUM_MODULUS:
-                place %= CHECKSUM_MODULUS
-            # place < 2^31 and token < 2^32, so a product stays below 2^63.
-            weighted = (place * part) % CHECKSUM_MODULUS
-            self.checksum = (self.checksum + int(weighted.sum())) % CHECKSUM_MODULUS
-            self.token_sum += int(part.sum())
+            total = int(part.sum())
+            inside = int(np.dot(_RAMP[: len(part)], part))
+            weighted = (self.count + 1) * total + inside
+            self.checksum = (self.checksum + weighted) % CHECKSUM_MODULUS
+            self.token_sum += total
             low, high = int(part.min()), int(part.max())
             self.min_id = low if self.min_id is None else min(self.min_id, low)
             self.max_id = high if self.max_id is None else max(self.max_id, high)

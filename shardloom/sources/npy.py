@@ -179,7 +179,7 @@ class _OpenShard:
 
     def append(self, tokens: np.ndarray) -> None:
         self.digest.add(tokens)
-        self.stream.write(np.ascontiguousarray(tokens, dtype="<u4"))
+        self.stream.write(tokens.astype("<u4", copy=False))
 
     def close(self) -> StagedFile:
         self.stream.close()
