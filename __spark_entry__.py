@@ -172,7 +172,7 @@ def _token_facts(spark: SparkSession, sf_dir: str, eot: bool) -> DataFrame:
         F.col("id").alias("doc_id"),
         F.size(ids).cast("bigint").alias("n_tokens"),
         F.get(ids, F.lit(0)).alias("first_token"),
-        F.element_at(ids, -1).alias("last_token"),
+        F.get(ids, F.size(ids) - 1).alias("last_token"),
         F.aggregate(ids, F.lit(0).cast("bigint"), lambda acc, x: acc + x).alias("token_sum"),
     )
 

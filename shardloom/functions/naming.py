@@ -91,10 +91,8 @@ def checkpoint_value(shard: Column, docs: Column) -> Column:
 def parse_checkpoint(value: Column) -> tuple[Column, Column]:
     """``(shard_id, docs_consumed)`` of ``"shard:docs"`` or of ``"shard"`` (docs is null then).
 
-    Anything else fails the run, by the ANSI cast or by the field count.
+    Anything else fails the run.
     """
-    fields = F.split(value, ":")
-    checked = F.when(F.size(fields) <= 2, fields).otherwise(
-        F.raise_error(F.concat(F.lit("malformed checkpoint: "), value))
-    )
+    malformed = F.raise_error(F.concat(F.lit("malformed checkpoint: "), value))
+    checked = F.when(value.rlike("^[0-9]+(:[0-9]+)?$"), F.split(value, ":")).otherwise(malformed)
     return checked[0].cast("bigint"), F.get(checked, F.lit(1)).cast("bigint")

@@ -93,7 +93,7 @@ def build(
         adopt(plan, dst, shard_size)
     if staged:
         _drop(staged)
-    return read_manifest(spark, dst)
+    return read_manifest(spark, dst).join(plan, ["file_name", "n_tokens"], "left_semi")
 
 
 def publish(
@@ -153,7 +153,7 @@ def record(shards: DataFrame, dst: str, shard_size: int) -> None:
 def read_manifest(spark: SparkSession, dst: str) -> DataFrame:
     """One row per published shard, the latest where one was written again."""
     if not exists(f"{dst}/{MANIFEST}"):
-        return spark.createDataFrame([], "shard_id bigint, file_name string")
+        return spark.createDataFrame([], "shard_id bigint, file_name string, n_tokens bigint")
     rows = spark.read.parquet(f"{dst}/{MANIFEST}")
     latest = rows.groupBy("shard_id").agg(F.max_by(F.struct("*"), "recorded").alias("row"))
     return latest.select("row.*")

@@ -111,7 +111,7 @@ def test_checkpoint_names_and_values(spark):
     ]
     for value in ("x", "7:", "1:2:3", ""):
         bad = spark.createDataFrame([(value,)], "value string")
-        with pytest.raises(Exception):
+        with pytest.raises(Exception, match="malformed checkpoint"):
             bad.select(*parse_checkpoint(F.col("value"))).collect()
 
 

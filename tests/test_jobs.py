@@ -260,3 +260,12 @@ def test_retried_tasks_leave_no_trace(spark, source, folder):
     assert {row.status for row in report.collect()} == {"published"}
     assert shards_on_disk(folder) == pack(DOCUMENTS, SIZE)[0]
     assert not list(Path(folder, "_staging").rglob("*.npy"))
+
+
+def test_a_new_plan_does_not_list_what_an_old_one_left(spark, source, folder):
+    old = build_small(spark, source, folder).count()
+    manifest = build_small(spark, source, folder, shard_size=4 * SIZE, mode=OVERWRITE)
+    shards, _ = pack(DOCUMENTS, 4 * SIZE)
+    assert old > len(shards)
+    rows = manifest.orderBy("shard_id").collect()
+    assert [(row.n_tokens, row.checksum) for row in rows] == [(len(s), checksum(s)) for s in shards]
