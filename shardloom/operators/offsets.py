@@ -7,7 +7,7 @@ totals, thousands of times fewer, are accumulated the same way and joined back.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shardloom.session import written
@@ -42,26 +42,27 @@ def exclusive_totals(df: DataFrame, key: str, totals: dict[str, str]) -> DataFra
     carried = [name for name in df.columns if name not in (key, *totals.values())]
     inside = Window.partitionBy("_bucket").orderBy(key, *carried)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    repeated = F.lag(key).over(inside) == F.col(key)
-    message = F.concat(F.lit(f"repeated {key}: "), F.col(key).cast("string"))
-    present = F.when(F.col(key).isNull(), F.raise_error(F.lit(f"row without {key}")))
-    bucket = F.shiftright(present.otherwise(F.col(key)), BUCKET_BITS)
+    absent = F.raise_error(F.lit(f"row without {key}"))
+    known = F.when(F.col(key).isNull(), absent).otherwise(F.col(key))
     local = (
-        df.withColumn("_bucket", bucket)
+        df.withColumn("_bucket", F.shiftright(known, BUCKET_BITS))
         .filter(F.col("_bucket").isNotNull())
         .withColumns(
-            {
-                f"_{out}": F.when(repeated, F.raise_error(message)).otherwise(
-                    F.sum(column).over(upto)
-                )
-                for out, column in totals.items()
-            }
+            {"_prior": F.lag(key).over(inside)}
+            | {f"_{out}": F.sum(column).over(upto) for out, column in totals.items()}
         )
     )
+    repeated = F.raise_error(F.concat(F.lit(f"repeated {key}: "), F.col(key).cast("string")))
+
+    def exclusive(inclusive: Column, column: str) -> Column:
+        value = inclusive - F.col(column)
+        return F.when(F.col("_prior") == F.col(key), repeated).otherwise(value)
+
     low, high, about = _bucket_span(df, key)
     if low == high:  # at most one bucket: local totals are the totals
         return local.select(
-            *df.columns, *[(F.col(f"_{out}") - F.col(column)).alias(out) for out, column in totals.items()]
+            *df.columns,
+            *[exclusive(F.col(f"_{out}"), column).alias(out) for out, column in totals.items()],
         )
     # The last local total of a bucket is its greatest: no row is aggregated twice.
     buckets = local.groupBy("_bucket").agg(*[F.max(f"_{out}").alias(out) for out in totals])
@@ -81,7 +82,7 @@ def exclusive_totals(df: DataFrame, key: str, totals: dict[str, str]) -> DataFra
     return local.join(bases, "_bucket").select(
         *df.columns,
         *[
-            (F.col(f"_base_{out}") + F.col(f"_{out}") - F.col(column)).alias(out)
+            exclusive(F.col(f"_base_{out}") + F.col(f"_{out}"), column).alias(out)
             for out, column in totals.items()
         ],
     )

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shardloom.functions.naming import ThreeWay, TwoWay, with_layout
-from shardloom.operators.offsets import token_offsets
 
 SHARD_SIZE = 100_000_000
 

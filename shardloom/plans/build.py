@@ -144,15 +144,18 @@ def adopt(plan: DataFrame, dst: str, shard_size: int = SHARD_SIZE) -> None:
 
 
 def record(shards: DataFrame, dst: str, shard_size: int) -> None:
-    """Append published shards to the manifest, then their checkpoints."""
+    """Append the checkpoints of published shards, then the shards to the manifest.
+
+    In this order, as a shard missing from the manifest is found again and recorded.
+    """
+    append_checkpoint(checkpoint_log(shards, shard_size), f"{dst}/{CHECKPOINTS}")
     rows = shards.withColumn("recorded", F.current_timestamp())
     rows.write.mode("append").parquet(f"{dst}/{MANIFEST}")
-    append_checkpoint(checkpoint_log(shards, shard_size), f"{dst}/{CHECKPOINTS}")
 
 
 def read_manifest(spark: SparkSession, dst: str) -> DataFrame:
     """One row per published shard, the latest where one was written again."""
-    if not exists(f"{dst}/{MANIFEST}"):
+    if not exists(f"{dst}/{MANIFEST}/_SUCCESS"):
         return spark.createDataFrame([], "shard_id bigint, file_name string, n_tokens bigint")
     rows = spark.read.parquet(f"{dst}/{MANIFEST}")
     latest = rows.groupBy("shard_id").agg(F.max_by(F.struct("*"), "recorded").alias("row"))

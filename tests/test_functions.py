@@ -70,9 +70,8 @@ def test_rank_vocabulary_encodes_as_its_table_says(spark, vocab, eot):
 
 
 def test_build_with_a_rank_vocabulary(spark, vocab, folder):
-    spark.createDataFrame([(f"d{i}", t) for i, t in enumerate(TEXTS * 5)], "id string, text string").write.parquet(
-        f"{folder}/in"
-    )
+    rows_ = [(f"d{i}", text) for i, text in enumerate(TEXTS * 5)]
+    spark.createDataFrame(rows_, "id string, text string").write.parquet(f"{folder}/in")
     stream = [t for text in TEXTS * 5 for t in expected(text)]
     build(spark, f"{folder}/in", f"{folder}/out", vocab, order_by="source", shard_size=37)
     got = [t for shard in shards_on_disk(f"{folder}/out") for t in shard]
@@ -148,7 +147,8 @@ def test_pending_and_outcome(spark):
 
 
 def test_rows(spark):
-    df = spark.createDataFrame([(10 * i, f"d{i}", f"text {i}") for i in range(20)], "pos bigint, id string, text string").repartition(3)
+    data = [(10 * i, f"d{i}", f"text {i}") for i in range(20)]
+    df = spark.createDataFrame(data, "pos bigint, id string, text string").repartition(3)
 
     def ids(frame):
         return [r.id for r in frame.orderBy("pos").collect()]
