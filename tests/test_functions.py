@@ -1,4 +1,5 @@
 import base64
+import inspect
 import os
 from collections import Counter
 from datetime import datetime
@@ -190,6 +191,7 @@ def test_published_patterns():
     from shardloom.functions.vocab import GPT2_PATTERN
 
     assert openai_public.r50k_pat_str == GPT2_PATTERN
+    assert f'"""{GPT4_PATTERN}"""' in inspect.getsource(openai_public.cl100k_base)
 
 
 def test_observed_counts(spark):
