@@ -47,6 +47,13 @@ from shardloom.sources.corpus import corpus, corpus_stream, positioned
 from shardloom.sources.objects import list_objects, pending
 from shardloom.streaming.packer import StreamPacker, pack_stream
 
+try:
+    import shardloom.llm.queries as llm_queries
+except ModuleNotFoundError as missing:
+    if (missing.name or "").split(".")[:2] not in (["shardloom", "llm"], ["corpus_pipeline"]):
+        raise
+    llm_queries = None
+
 SHARD_SIZE = 65_536
 LAYOUT = ThreeWay(val_end=4, test_end=8)
 BYTES = ByteVocab()
@@ -508,6 +515,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "map_square": map_square,
         "map_square_batches": map_square_batches,
         "object_listing": object_listing,
+        **(llm_queries.queries() if llm_queries else {}),
     }
 
 
@@ -703,4 +711,5 @@ def oracle_sql() -> dict[str, str]:
         "count_items": "SELECT count(*) AS items FROM events",
         "map_square": square,
         "map_square_batches": square,
+        **(llm_queries.oracle_sql() if llm_queries else {}),
     }
