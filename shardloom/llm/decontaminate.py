@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from functools import reduce
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -40,12 +41,19 @@ INDEX_BYTES = 32 << 20
 BOUND_CELLS = 1 << 21
 
 _HIT = "struct<item:string,score:double,question:double,answer:double,at:bigint>"
+# Bytes of words, capitals folded; all others become blanks.
+_FOLDED = bytes(ord(chr(b).lower()) if chr(b).isalnum() or b > 127 else 32 for b in range(128)) + bytes(range(128, 256))
+# The same words in Spark's regular expressions, for text in lower case.
+_SPARK_WORD = r"[0-9a-z\x{80}-\x{10FFFF}]+"
 _SENTENCE = re.compile(r"[.?!]\s+")
 
 
 def words_of(text: bytes) -> list[bytes]:
-    """Words, ASCII letters in lower case."""
-    return text.lower().split()
+    """Runs of ASCII letters and digits, lower case, and of all characters beyond ASCII.
+
+    Marks and symbols that cling to a word are no part of it.
+    """
+    return text.translate(_FOLDED).split()
 
 
 def split_item(text: str) -> tuple[str, str]:
@@ -86,6 +94,7 @@ class Index:
             (shingles(words_of(question)), shingles(words_of(answer))) for _, question, answer in items
         ]
         postings: dict[bytes, list[tuple[int, float]]] = defaultdict(list)
+        self.impacts: list[list[tuple[bytes, float]]] = []
         longest = 0
         for i, (text, _, _) in enumerate(items):
             words = words_of(text)
@@ -99,6 +108,7 @@ class Index:
                 for w, tf in times.items()
             }
             own = sum(impact.values())
+            self.impacts.append([(word, value / own) for word, value in impact.items()])
             for word, value in impact.items():
                 postings[word].append((i, value / own))
         self.term = {word: k for k, word in enumerate(postings)}
@@ -122,65 +132,61 @@ class Index:
         found: list[list[dict]] = [[] for _ in texts]
         if not self.items:
             return found
-        segments, owner = [], []
-        for i, text in enumerate(texts):
-            words = words_of(text)
-            for at in range(0, len(words), self.stride):
-                segments.append(words[at : at + self.stride])
-                owner.append(i)
-        step = max(1, BOUND_CELLS // self.n_blocks - 1)
+        words = [words_of(text) for text in texts]
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        per_text = -(-sizes // self.stride)  # segments, a passage being one and the next
+        first = np.cumsum(per_text) - per_text
+        ids = np.fromiter(
+            map(self.term.get, chain.from_iterable(words), repeat(-1)), np.int64, int(sizes.sum())
+        )
+        within = ranges(np.zeros(len(words), np.int64), sizes)
+        segment = np.repeat(first, sizes) + within // self.stride
+        known = ids >= 0
+        pairs = np.unique(segment[known] * len(self.postings) + ids[known])
+        segment, ids = pairs // len(self.postings), pairs % len(self.postings)
+        total = int(per_text.sum())
+        owner = np.repeat(np.arange(len(words)), per_text)
         hits: dict[tuple[int, int], dict] = {}
-        first_of = np.searchsorted(owner, np.arange(len(texts))) if owner else []
-        for lo in range(0, len(segments), step):
-            hi = min(lo + step, len(segments))
-            self._search(segments, owner, first_of, lo, hi, hits)
+        step = max(1, BOUND_CELLS // self.n_blocks - 1)
+        for lo in range(0, total, step):
+            hi = min(lo + step, total)
+            for row, block in self._candidates(segment, ids, owner, lo, hi):
+                i = int(owner[row])
+                at = int(row - first[i]) * self.stride
+                self._score(words[i][at : at + 2 * self.stride], int(block), i, at, hits)
         for (i, _), hit in sorted(hits.items()):
             found[i].append(hit)
         return found
 
-    def _search(self, segments, owner, first_of, lo, hi, hits) -> None:
-        """Passages that begin with segments ``lo`` to ``hi``; each is a segment and the next."""
-        last = min(hi + 1, len(segments))  # the next segment of the last passage
-        get = self.term.get
-        ids = [
-            np.unique(np.fromiter((get(w, -1) for w in segments[s]), np.int64, len(segments[s])))
-            for s in range(lo, last)
-        ]
-        of = np.repeat(np.arange(last - lo), [len(x) for x in ids])
-        ids = np.concatenate(ids)
-        of, ids = of[ids >= 0], ids[ids >= 0]
+    def _candidates(self, segment, ids, owner, lo: int, hi: int):
+        """Passages that begin with segments ``lo`` to ``hi``, and blocks whose bound reaches the threshold."""
+        last = min(hi + 1, len(owner))  # the second segment of the last passage
+        part = slice(*np.searchsorted(segment, [lo, last]))
+        segment, ids = segment[part] - lo, ids[part]
         sizes = self.sizes[ids]
         at = ranges(self.begins[ids], sizes)
-        cell = np.repeat(of, sizes) * self.n_blocks + self.blocks[at]
+        cell = np.repeat(segment, sizes) * self.n_blocks + self.blocks[at]
         table = np.bincount(cell, self.bounds[at], minlength=(last - lo) * self.n_blocks)
         table = table.reshape(last - lo, self.n_blocks)
         bound = table.copy()
-        follows = np.array([owner[s] == owner[s + 1] for s in range(lo, last - 1)], bool)
+        follows = owner[lo : last - 1] == owner[lo + 1 : last]
         bound[:-1][follows] += table[1:][follows]
-        for row, block in zip(*np.nonzero(bound[: hi - lo] >= self.threshold - 1e-9), strict=True):
-            s = lo + int(row)
-            both = segments[s] + (segments[s + 1] if s + 1 < last and follows[row] else [])
-            self._score(both, int(block), (owner[s], (s - first_of[owner[s]]) * self.stride), hits)
-
-    def _score(self, passage: list[bytes], block: int, place: tuple[int, int], hits) -> None:
-        low, high = block * BLOCK_ITEMS, (block + 1) * BLOCK_ITEMS
-        scores: dict[int, float] = defaultdict(float)
-        for word in dict.fromkeys(passage):
-            term = self.term.get(word)
-            if term is not None:
-                for i, value in self.postings[term]:
-                    if low <= i < high:
-                        scores[i] += value
-        passed = [i for i, value in scores.items() if value >= self.threshold]
-        there = shingles(passage) if passed else set()
-        for i in passed:
+        rows, blocks = np.nonzero(bound[: hi - lo] >= self.threshold - 1e-9)
+        return zip(rows + lo, blocks, strict=True)
+
+    def _score(self, passage: list[bytes], block: int, text: int, at: int, hits) -> None:
+        words = set(passage)
+        there = None
+        for i in range(block * BLOCK_ITEMS, min((block + 1) * BLOCK_ITEMS, len(self.items))):
+            score = sum(value for word, value in self.impacts[i] if word in words)
+            if score < self.threshold:
+                continue
+            there = there or shingles(passage)
             question, answer = (_share(part, there, passage) for part in self.items[i])
-            key = place[0], i
-            if min(question, answer) >= OVERLAP and (
-                key not in hits or (scores[i], -place[1]) > (hits[key]["score"], -hits[key]["at"])
-            ):
-                hits[key] = {
-                    "item": self.ids[i], "score": scores[i], "question": question, "answer": answer, "at": int(place[1]),
+            known = hits.get((text, i))
+            if min(question, answer) >= OVERLAP and (known is None or score > known["score"]):
+                hits[text, i] = {
+                    "item": self.ids[i], "score": score, "question": question, "answer": answer, "at": at,
                 }
 
 
@@ -217,7 +223,7 @@ def _parted(items: DataFrame, id_col: str) -> DataFrame:
         parts = items.select(quoted(id_col).alias("item"), "text", halves.alias("_h")).select(
             "item", "text", "_h.question", "_h.answer"
         )
-    return parts.filter(F.col("text").rlike(r"[^\x20\x09-\x0D]")).fillna("", ["question", "answer"])
+    return parts.filter(F.col("text").rlike(f"(?i){_SPARK_WORD}")).fillna("", ["question", "answer"])
 
 
 def indexes(items: DataFrame, id_col: str = "item_id", most_bytes: int = INDEX_BYTES):
@@ -225,7 +231,7 @@ def indexes(items: DataFrame, id_col: str = "item_id", most_bytes: int = INDEX_B
     table = kept(_parted(items, id_col), "items")
     # Lower case as in words_of, for ASCII letters alone.
     lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    words = F.regexp_extract_all(lower, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    words = F.regexp_extract_all(lower, F.lit(_SPARK_WORD), F.lit(0))
     facts = table.agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.size(words)).alias("average"),
         F.sum(F.octet_length("text")).alias("bytes"),
@@ -272,7 +278,7 @@ def contaminated(
     """``(doc_id, item_id, score, question_overlap, answer_overlap, word_at)``: a row per document and item found.
 
     ``score`` is the best passage's share of the item's own BM25 score, ``word_at`` its first
-    word. Null and empty texts hold nothing, null and wordless items are found nowhere;
+    word. Null and empty texts hold nothing, null items and those without a letter or digit are found nowhere;
     repeated documents are each reported, repeated items too; without items or documents the
     result is empty. Other columns of either table play no part.
     """

@@ -4,12 +4,14 @@ A document is its set of distinct word shingles. Equal sets are one class from t
 copies cost a row of an aggregation each. The classes' SuperMinHash signatures are cut into
 bands, and classes with an equal band meet in a bucket. In a bucket the least class is
 compared with all others, on full sets; the links join into components, and only buckets
-in which several components are left go on, with twice as many further centres each time,
-until every pair of a bucket is in one component or has been compared.
+in which several components are left go on, with more further centres each time, until
+every pair of a bucket is in one component or has been compared.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -33,6 +35,8 @@ SIMILAR_PERCENT = 75
 BANDS, BAND_ROWS = 32, 4
 SIGNATURE = BANDS * BAND_ROWS
 SEED = np.uint64(0x8A5CD789635D2DFF)
+# How many times as many centres each further round takes, in buckets that are still open.
+MORE_CENTRES = 32
 # Elements whose permutations are held at once, SIGNATURE bytes each.
 ELEMENTS = 1 << 15
 
@@ -231,22 +235,23 @@ def _labels(texts: DataFrame, classes: DataFrame) -> DataFrame:
     keyed = texts.withColumn("text_hash", F.xxhash64("text")).join(meeting, ["doc_id", "text_hash"], "left_semi")
     packed = keyed.dropDuplicates(["doc_id", "text_hash"])
     sets = kept(packed.select(F.col("doc_id").alias("rep"), packed_sets(F.col("text")).alias("set")), "full_sets")
-    links = kept(classes.select(F.col("rep").alias("a"), F.col("rep").alias("b")).limit(0), "links")
-    compared, centres, first = None, 1, 0
-    open_buckets = buckets
+    links: list[DataFrame] = []
+    compared: list[DataFrame] = []
+    labels = None
+    open_buckets, first, centres = buckets, 0, 1
     while True:
         pairs = _with_centres(open_buckets, first, centres)
-        if compared is not None:
-            pairs = pairs.join(compared, ["x", "c"], "left_anti")
-        pairs = kept(pairs, "pairs")
-        new = kept(_verified(pairs, sets), "verified")
-        links = kept(links.union(new), "links")
-        compared = pairs if compared is None else kept(compared.union(pairs), "compared")
-        labels = kept(components(links), "labels")
-        open_buckets = _still_open(buckets, labels, first + centres)
+        for before in compared:
+            pairs = pairs.join(before, ["x", "c"], "left_anti")
+        compared.append(kept(pairs, "pairs"))
+        new = kept(_verified(compared[-1], sets), "verified")
+        if labels is None or not new.isEmpty():
+            links.append(new)
+            labels = kept(components(reduce(DataFrame.union, links)), "labels")
+        first, centres = first + centres, MORE_CENTRES * centres
+        open_buckets = _still_open(buckets, labels, first)
         if open_buckets is None:
             return labels
-        first, centres = first + centres, 2 * centres
 
 
 def _with_centres(buckets: DataFrame, first: int, count: int) -> DataFrame:
