@@ -3,9 +3,11 @@
 A document is its set of distinct word shingles. Equal sets are one class from the start, so
 copies cost a row of an aggregation each. The classes' SuperMinHash signatures are cut into
 bands, and classes with an equal band meet in a bucket. In a bucket the least class is
-compared with all others, on full sets; the links join into components, and only buckets
-in which several components are left go on, with more further centres each time, until
-every pair of a bucket is in one component or has been compared.
+compared with all others, on full sets, and the links join into components. Where several
+components are left, those besides the largest are compared with a seeded member of it, as
+long as that finds links: large groups of near copies come together at a row per member
+and round. What is then still apart is settled by an exact prefix filter on the rarest
+shingles, which leaves out no pair and does not grow with the square of a bucket.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shardloom.llm.graph import components
@@ -31,17 +33,23 @@ from shardloom.session import attach
 
 SHINGLE = 5
 SIMILAR_PERCENT = 75
-# 32 bands of 4: a pair at the threshold is missed by all with probability 5e-6.
-BANDS, BAND_ROWS = 32, 4
+# 85 bands of 6: a pair at the threshold is missed by all with probability 6e-8, one of
+# similarity 0.3 meets in a given band with 7e-4.
+BANDS, BAND_ROWS = 85, 6
 SIGNATURE = BANDS * BAND_ROWS
 SEED = np.uint64(0x8A5CD789635D2DFF)
-# How many times as many centres each further round takes, in buckets that are still open.
-MORE_CENTRES = 32
+# Rounds that attach what is apart to a bucket's largest component, at most.
+ATTACHING = 6
 # Elements whose permutations are held at once, SIGNATURE bytes each.
 ELEMENTS = 1 << 15
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_SETS = "struct<n:bigint,f1:bigint,f2:bigint,bands:array<bigint>>"
+_SETS = "struct<n:bigint,f1:bigint,f2:bigint,bands:array<bigint>,sketch:array<bigint>>"
+# A sketch has 4 bits of every signature slot, 16 slots to a number. Of SIGNATURE slots a pair
+# at the threshold differs in 120 with a deviation of 9.6; more than 163, 4.5 deviations on,
+# and it is not compared: a loss of 3e-6 at the threshold itself.
+SKETCH = -(-SIGNATURE // 16)
+MOST_UNLIKE = 163
 
 
 def shingle_sets(texts: list[bytes], width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -122,46 +130,80 @@ def bands_of(signatures: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def sketches_of(signatures: np.ndarray) -> np.ndarray:
+    """Four bits of a hash of each slot, packed."""
+    nibbles = np.zeros((len(signatures), SKETCH * 16), np.uint64)
+    bits = np.ascontiguousarray(signatures).view(np.uint64)
+    nibbles[:, :SIGNATURE] = mixed(bits ^ _STEP) >> np.uint64(60)
+    shifts = np.arange(16, dtype=np.uint64) * np.uint64(4)
+    return (nibbles.reshape(len(signatures), SKETCH, 16) << shifts).sum(axis=2, dtype=np.uint64).view(np.int64)
+
+
+def _unlike(left: Column, right: Column) -> Column:
+    """In how many slots two sketches differ."""
+
+    def slots(x: Column) -> Column:
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        return F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+
+    # Lambdas, as one expression for all numbers is too long for the compiler of the JVM.
+    different = F.zip_with(left, right, lambda a, b: slots(a.bitwiseXOR(b)))
+    return F.aggregate(different, F.lit(0), lambda total, n: total + n)
+
+
 def described(text: Column) -> Column:
     """Struct of a text's shingle set: size, 128-bit fingerprint and band keys (null if empty)."""
 
     @F.arrow_udf(_SETS)
     def describe(column: pa.Array) -> pa.Array:
         texts = encoded(column)
-        sizes, prints, keys = [], [], []
+        sizes, prints, keys, sketches = [], [], [], []
         for lo, hi in groups([len(t) for t in texts]):
             values, counts = shingle_sets(texts[lo:hi])
-            sizes.append(counts)
-            sums = [np.concatenate([[0], np.cumsum(mixed(values + salt))]) for salt in (SEED, _STEP)]
             begins = starts_of(counts)
-            prints.append(np.stack([s.astype(np.uint64)[begins[1:]] - s.astype(np.uint64)[begins[:-1]] for s in sums]))
-            keys.append(bands_of(superminhash(values, counts)))
+            sizes.append(counts)
+            for salt in (SEED, _STEP):
+                sums = np.zeros(len(values) + 1, np.uint64)
+                np.cumsum(mixed(values + salt), out=sums[1:])
+                prints.append(sums[begins[1:]] - sums[begins[:-1]])
+            table = superminhash(values, counts)
+            keys.append(bands_of(table))
+            sketches.append(sketches_of(table))
         n = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
-        prints = np.concatenate(prints, axis=1) if prints else np.zeros((2, 0), np.uint64)
-        keys = np.concatenate(keys) if keys else np.zeros((0, BANDS), np.int64)
-        offsets = pa.array(np.concatenate([[0], np.cumsum((n > 0) * BANDS)]), pa.int32())
-        lists = pa.ListArray.from_arrays(offsets, pa.array(keys[n > 0].reshape(-1)), mask=pa.array(n == 0))
+
+        def joined(parts: list[np.ndarray]) -> pa.Array:
+            return pa.array(np.concatenate(parts).view(np.int64) if parts else n)
+
+        def lists(parts: list[np.ndarray], width: int) -> pa.Array:
+            flat = np.concatenate(parts)[n > 0].reshape(-1) if parts else n
+            offsets = pa.array(np.concatenate([[0], np.cumsum((n > 0) * width)]), pa.int32())
+            return pa.ListArray.from_arrays(offsets, pa.array(flat), mask=pa.array(n == 0))
+
         return pa.StructArray.from_arrays(
-            [pa.array(n), *[pa.array(p.view(np.int64)) for p in np.ascontiguousarray(prints)], lists],
-            ["n", "f1", "f2", "bands"],
+            [pa.array(n), joined(prints[::2]), joined(prints[1::2]), lists(keys, BANDS), lists(sketches, SKETCH)],
+            ["n", "f1", "f2", "bands", "sketch"],
         )
 
     return describe(text)
 
 
-def packed_sets(text: Column) -> Column:
-    """The shingle set as sorted 64-bit fingerprints in one binary."""
+def full_sets(text: Column) -> Column:
+    """The shingle set as an array of 64-bit fingerprints."""
 
-    @F.arrow_udf("binary")
-    def pack(column: pa.Array) -> pa.Array:
-        texts, sets = encoded(column), []
+    @F.arrow_udf("array<bigint>")
+    def full(column: pa.Array) -> pa.Array:
+        texts, flat, sizes = encoded(column), [], []
         for lo, hi in groups([len(t) for t in texts]):
             values, counts = shingle_sets(texts[lo:hi])
-            begins = starts_of(counts)
-            sets.extend(values[a:b].tobytes() for a, b in zip(begins[:-1], begins[1:], strict=True))
-        return pa.array(sets, pa.binary())
+            flat.append(values.view(np.int64))
+            sizes.append(counts)
+        if not texts:
+            return pa.array([], pa.list_(pa.int64()))
+        offsets = pa.array(starts_of(np.concatenate(sizes)), pa.int32())
+        return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(flat)))
 
-    return pack(text)
+    return full(text)
 
 
 def similar(left_set: Column, right_set: Column) -> Column:
@@ -170,8 +212,8 @@ def similar(left_set: Column, right_set: Column) -> Column:
     @F.arrow_udf("boolean")
     def apply(left: pa.Array, right: pa.Array) -> pa.Array:
         found = []
-        for a, b in zip(encoded(left), encoded(right), strict=True):
-            x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+        for a, b in zip(left, right, strict=True):
+            x, y = a.values.to_numpy(), b.values.to_numpy()
             common = len(np.intersect1d(x, y, assume_unique=True))
             found.append(100 * common >= SIMILAR_PERCENT * (len(x) + len(y) - common))
         return pa.array(found, pa.bool_())
@@ -198,8 +240,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # A class per set: the least id stands for it.
     classes = kept(
         known.groupBy("f1", "f2", "n")
-        .agg(F.min(F.struct("doc_id", "text_hash")).alias("least"), F.first("bands").alias("bands"))
-        .select("f1", "f2", "n", F.col("least.doc_id").alias("rep"), "least.text_hash", "bands"),
+        .agg(
+            F.min(F.struct("doc_id", "text_hash")).alias("least"),
+            F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
+        )
+        .select("f1", "f2", "n", F.col("least.doc_id").alias("rep"), "least.text_hash", "bands", "sketch"),
         "classes",
     )
     labels = _labels(texts, classes)
@@ -234,52 +279,91 @@ def _labels(texts: DataFrame, classes: DataFrame) -> DataFrame:
     meeting = buckets.select(F.col("rep").alias("doc_id"), "text_hash").distinct()
     keyed = texts.withColumn("text_hash", F.xxhash64("text")).join(meeting, ["doc_id", "text_hash"], "left_semi")
     packed = keyed.dropDuplicates(["doc_id", "text_hash"])
-    sets = kept(packed.select(F.col("doc_id").alias("rep"), packed_sets(F.col("text")).alias("set")), "full_sets")
+    sets = packed.select(F.col("doc_id").alias("rep"), full_sets(F.col("text")).alias("set"))
+    sets = kept(sets.select("rep", F.size("set").cast("bigint").alias("n"), "set"), "full_sets")
     links: list[DataFrame] = []
     compared: list[DataFrame] = []
-    labels = None
-    open_buckets, first, centres = buckets, 0, 1
+    labels, apart, rounds = None, buckets, 0
     while True:
-        pairs = _with_centres(open_buckets, first, centres)
+        last = labels is not None and rounds == 0
+        if labels is None:
+            pairs = _with_least(buckets)
+        elif rounds:
+            pairs = _with_largest(apart, rounds)
+        else:
+            pairs = _by_prefix(apart, sets, classes)
         for before in compared:
             pairs = pairs.join(before, ["x", "c"], "left_anti")
         compared.append(kept(pairs, "pairs"))
         new = kept(_verified(compared[-1], sets), "verified")
-        if labels is None or not new.isEmpty():
+        found = not new.isEmpty()
+        if labels is None or found:
             links.append(new)
             labels = kept(components(reduce(DataFrame.union, links)), "labels")
-        first, centres = first + centres, MORE_CENTRES * centres
-        open_buckets = _still_open(buckets, labels, first)
-        if open_buckets is None:
+        if last:
             return labels
+        rounds = rounds + 1 if found and rounds < ATTACHING else 0
+        apart = _still_apart(buckets, labels)
+        if apart is None:
+            return labels
+
+
+def _fitting(joined: DataFrame, apart: Column) -> DataFrame:
+    """Distinct pairs ``(x, c)``, without sizes that cannot reach the similarity."""
+    fits = 100 * F.least("n", "cn") >= SIMILAR_PERCENT * F.greatest("n", "cn")
+    ends = joined.filter(fits & apart).select(F.greatest("rep", "c").alias("x"), F.least("rep", "c").alias("c"))
+    return ends.distinct()
 
 
-def _with_centres(buckets: DataFrame, first: int, count: int) -> DataFrame:
-    """Distinct pairs ``(x, c)`` of bucket members with the centres ``first`` and after, by id.
+def _with_least(buckets: DataFrame) -> DataFrame:
+    """Members of a bucket with the least of them."""
+    least = buckets.groupBy("band").agg(F.min(F.struct("rep", "n")).alias("least"))
+    centres = least.select("band", F.col("least.rep").alias("c"), F.col("least.n").alias("cn"))
+    return _fitting(buckets.join(centres, "band"), F.col("rep") > F.col("c"))
+
+
+def _with_largest(buckets: DataFrame, round_: int) -> DataFrame:
+    """Members outside of a bucket's largest component with one member of it, another each round."""
+    drawn = F.min(F.struct(F.xxhash64("rep", F.lit(round_)).alias("at"), "rep", "n"))
+    groups_ = buckets.groupBy("band", "label").agg(F.count(F.lit(1)).alias("members"), drawn.alias("one"))
+    largest = groups_.groupBy("band").agg(F.max(F.struct("members", "label", "one")).alias("top"))
+    centres = largest.filter("top.members > 1").select(
+        "band", F.col("top.label").alias("c_label"), F.col("top.one.rep").alias("c"),
+        F.col("top.one.n").alias("cn"),
+    )
+    return _fitting(buckets.join(centres, "band"), F.col("label") != F.col("c_label"))
 
-    Sizes that cannot reach the similarity are left out, and so are pairs that already are in
-    one component.
+
+def _by_prefix(buckets: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs of different components that can be similar at all, among members of ``buckets``.
+
+    Similar sets share one of the rarest shingles of both: of ``n`` shingles the first
+    ``n - ceil(0.75 n) + 1``, by frequency among the members. Documents around a common passage
+    have all that is their own there. Copies that are edited beyond the similarity may still
+    meet; their sketches tell them apart. A pair is taken at its least common shingle only.
     """
-    if first == 0:
-        centres = buckets.groupBy("band").agg(
-            F.min(F.struct("rep", "n")).alias("least")
-        ).select("band", F.col("least.rep").alias("c"), F.col("least.n").alias("cn"))
-        joined = buckets.join(centres, "band")
-        apart = F.col("rep") > F.col("c")
-    else:
-        place = F.row_number().over(Window.partitionBy("band").orderBy("rep")) - 1
-        ranked = buckets.withColumn("place", place)
-        centres = ranked.filter(F.col("place").between(first, first + count - 1)).select(
-            "band", F.col("rep").alias("c"), F.col("n").alias("cn"), F.col("label").alias("c_label")
-        )
-        joined = buckets.join(centres, "band")
-        apart = (F.col("rep") != F.col("c")) & (F.col("label") != F.col("c_label"))
-    fits = 100 * F.least("n", "cn") >= SIMILAR_PERCENT * F.greatest("n", "cn")
-    return (
-        joined.filter(apart & fits)
-        .select(F.greatest("rep", "c").alias("x"), F.least("rep", "c").alias("c"))
-        .distinct()
+    members = buckets.select("rep", "n", "label").distinct()
+    each = members.join(sets, ["rep", "n"]).select("rep", "n", "label", F.explode("set").alias("shingle"))
+    often = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
+    ordered = each.join(often, "shingle").groupBy("rep", "n", "label").agg(
+        F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("by_rarity")
+    )
+    length = F.expr(f"cast(n - (({SIMILAR_PERCENT} * n + 99) div 100) + 1 as int)")
+    rarest = F.filter(F.slice("by_rarity", F.lit(1), length), lambda s: s["often"] > 1)
+    prefixes = ordered.select("rep", "n", "label", F.transform(rarest, lambda s: s["shingle"]).alias("prefix"))
+    sketches = classes.select("rep", "n", "sketch")
+    prefixes = kept(prefixes.filter(F.size("prefix") > 0).join(sketches, ["rep", "n"]), "prefixes")
+    rows = prefixes.withColumn("shingle", F.explode("prefix"))
+    mixed_ = rows.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    rows = rows.join(mixed_.filter("low != high").select("shingle"), "shingle")
+    others = rows.select("shingle", *[F.col(c).alias(f"c_{c}") for c in ("n", "label", "prefix", "sketch")], F.col("rep").alias("c"))
+    apart = (
+        (F.col("rep") > F.col("c"))
+        & (F.col("label") != F.col("c_label"))
+        & (_unlike(F.col("sketch"), F.col("c_sketch")) <= MOST_UNLIKE)
+        & (F.array_min(F.array_intersect("prefix", "c_prefix")) == F.col("shingle"))
     )
+    return _fitting(rows.join(others, "shingle").withColumnRenamed("c_n", "cn"), apart)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -288,16 +372,13 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.filter(similar(F.col("x_set"), F.col("c_set"))).select(F.col("x").alias("a"), F.col("c").alias("b"))
 
 
-def _still_open(buckets: DataFrame, labels: DataFrame, done: int) -> DataFrame | None:
-    """Buckets with several components and pairs left to compare, their members labelled."""
-    labelled = buckets.drop("label").join(labels, F.col("rep") == F.col("node"), "left").select(
+def _still_apart(buckets: DataFrame, labels: DataFrame) -> DataFrame | None:
+    """Buckets with several components, their members labelled."""
+    labelled = buckets.join(labels, F.col("rep") == F.col("node"), "left").select(
         "band", "rep", "n", F.coalesce("component", "rep").alias("label")
     )
-    several = labelled.groupBy("band").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members")
-    )
-    several = several.filter((F.col("low") != F.col("high")) & (F.col("members") > done + 1))
-    left = kept(labelled.join(several.select("band"), "band"), "open")
+    several = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    left = kept(labelled.join(several.filter("low != high").select("band"), "band"), "apart")
     return None if left.isEmpty() else left
 
 
