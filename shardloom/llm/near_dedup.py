@@ -292,8 +292,8 @@ def _labels(texts: DataFrame, classes: DataFrame) -> DataFrame:
             pairs = _with_largest(apart, rounds)
         else:
             pairs = _by_prefix(apart, sets, classes)
-        for before in compared:
-            pairs = pairs.join(before, ["x", "c"], "left_anti")
+        if compared:
+            pairs = pairs.join(reduce(DataFrame.union, compared), ["x", "c"], "left_anti")
         compared.append(kept(pairs, "pairs"))
         new = kept(_verified(compared[-1], sets), "verified")
         found = not new.isEmpty()
