@@ -281,28 +281,41 @@ def build_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _build(spark, sf_dir, folder, resume=True)
 
 
+STREAM_COLUMNS = [
+    "shard_id", "split", "split_index", "file_name", "n_tokens", "last_doc", "docs_consumed",
+    "token_sum", "checksum",
+]
+
+
 def stream_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus arriving in three rounds of files, packed as micro-batches."""
+    return _streamed(spark, sf_dir, flush_each=False)
+
+
+def stream_continued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, flushed after every round: full shards take the place of partial ones."""
+    return _streamed(spark, sf_dir, flush_each=True)
+
+
+def _streamed(spark: SparkSession, sf_dir: str, flush_each: bool) -> DataFrame:
     attach(spark)
     docs = spark.read.parquet(_table(sf_dir, "documents")).select("doc_id", "text")
     inbox = scratch(spark, "inbox")
     per_round = max(2, docs.rdd.getNumPartitions())
     edges = docs.agg(F.percentile_approx("doc_id", [1 / 3, 2 / 3]).alias("at")).first().at
-    spans = zip([None, *edges], [*edges, None], strict=True)
-    for low, high in spans:
-        part = docs.filter(F.lit(True) if low is None else F.col("doc_id") > low)
-        part = part.filter(F.lit(True) if high is None else F.col("doc_id") <= high)
-        part.repartition(per_round).write.mode("append").parquet(inbox)
     folder = scratch(spark, "stream")
     packer = StreamPacker(
         spark, folder, BYTES, "doc_id", "text", "doc_id", True, SHARD_SIZE, LAYOUT
     )
-    stream = corpus_stream(spark, inbox, docs.schema, per_round)
-    manifest = pack_stream(stream, packer, f"{folder}/query")
-    return manifest.select(
-        "shard_id", "split", "split_index", "file_name", "n_tokens", "last_doc",
-        "docs_consumed", "token_sum", "checksum",
-    )
+    spans = list(zip([None, *edges], [*edges, None], strict=True))
+    for low, high in spans:
+        part = docs.filter(F.lit(True) if low is None else F.col("doc_id") > low)
+        part = part.filter(F.lit(True) if high is None else F.col("doc_id") <= high)
+        part.repartition(per_round).write.mode("append").parquet(inbox)
+        if flush_each or high is None:
+            stream = corpus_stream(spark, inbox, docs.schema, per_round)
+            manifest = pack_stream(stream, packer, f"{folder}/query")
+    return manifest.select(*STREAM_COLUMNS)
 
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -493,6 +506,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "build_manifest": build_manifest,
         "build_resumed": build_resumed,
         "stream_manifest": stream_manifest,
+        "stream_continued": stream_continued,
         "checkpoint_log": checkpoints,
         "checkpoint_objects": checkpoint_objects,
         "latest_checkpoint": latest,
@@ -617,6 +631,12 @@ def oracle_sql() -> dict[str, str]:
            CAST(coalesce(sum(n_tokens) FILTER (n_tokens <> {_S}), 0) AS BIGINT) AS open_tokens
     FROM m"""
 
+    streamed = f"""{_manifest_sql()},
+            c AS ({_checksum_sql()} SELECT shard_id, token_sum, checksum FROM c)
+            SELECT shard_id, split, split_index, file_name, n_tokens, last_doc, docs_consumed,
+                   token_sum, checksum
+            FROM m JOIN c USING (shard_id)"""
+
     def token_facts(lead: str, n: str) -> str:
         return f"""
         WITH t AS (
@@ -674,11 +694,8 @@ def oracle_sql() -> dict[str, str]:
         "publish_overwrite": facts,
         "build_manifest": built,
         "build_resumed": built,
-        "stream_manifest": f"""{_manifest_sql()},
-            c AS ({_checksum_sql()} SELECT shard_id, token_sum, checksum FROM c)
-            SELECT shard_id, split, split_index, file_name, n_tokens, last_doc, docs_consumed,
-                   token_sum, checksum
-            FROM m JOIN c USING (shard_id)""",
+        "stream_manifest": streamed,
+        "stream_continued": streamed,
         "checkpoint_log": f"{log} SELECT * FROM l",
         "checkpoint_objects": f"""{log}
             SELECT 'checkpoints/' || doc_id || '.txt' AS name,

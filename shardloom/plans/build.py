@@ -24,7 +24,10 @@ from shardloom.sources.paths import exists, resolve
 
 PLAN, MANIFEST, CHECKPOINTS = "plan", "manifest", "checkpoints"
 
-SKIP_EXISTING, OVERWRITE = "skip_existing", "overwrite"
+SKIP_EXISTING, OVERWRITE, GROW = "skip_existing", "overwrite", "grow"
+_ON_EXISTS = {SKIP_EXISTING: "skip", OVERWRITE: "overwrite", GROW: "grow"}
+# Names given in an error message.
+NAMED = 10
 
 
 def build(
@@ -49,7 +52,9 @@ def build(
     ``resume`` continues a stopped run from its saved plan and gives exactly the shards an
     uninterrupted run gives; without a plan it is a fresh start. ``resume_after_id`` names
     the document at whose checkpoint to continue. ``mode`` says what happens to files that
-    are already there: ``skip_existing`` leaves them alone and does not compute them again.
+    are already there: ``skip_existing`` leaves them alone and does not compute them again, but
+    a file of another length than planned, as a corpus that has grown leaves behind, is an
+    error. So is a file that could not be published, once all others are recorded.
     """
     attach(spark)
     vocab = vocab or ByteVocab()
@@ -75,12 +80,16 @@ def build(
 
     todo = plan
     if resume_after_id is not None:
-        done = checkpoint_log(plan, shard_size).filter(F.col("doc_id") == resume_after_id).first()
-        if done is None:
+        done = checkpoint_log(plan, shard_size).filter(F.col("doc_id") == resume_after_id)
+        # A long document may have several; the last one replaces those before.
+        done = done.agg(F.max("shard_id").alias("shard_id")).first()
+        if done.shard_id is None:
             raise ValueError(f"no checkpoint at document {resume_after_id!r}")
         todo = plan.filter(F.col("shard_id") > done.shard_id)
     if mode == SKIP_EXISTING:
-        todo = pending(todo, present(spark, dst).withColumnRenamed("name", "file_name"))
+        there = present(spark, dst).withColumnRenamed("name", "file_name")
+        _same_lengths(todo, there)
+        todo = pending(todo, there)
     elif resuming:
         todo = pending(todo, read_manifest(spark, dst))
     left, first, last = todo.agg(F.count("*"), F.min("first_pos"), F.max("last_pos")).first()
@@ -88,7 +97,7 @@ def build(
         if resuming:
             rest = corpus(spark, src, id_col, text_col, order_by, glob, span=(first, last))
             tokens = vocab.tokenized(rest, eot)
-        publish(tokens, todo, vocab.codec(eot), dst, shard_size, layout, mode)
+        all_published(publish(tokens, todo, vocab.codec(eot), dst, shard_size, layout, mode))
     if left < plan.count():
         adopt(plan, dst, shard_size)
     if staged:
@@ -114,7 +123,7 @@ def publish(
         .write.format("tokenshard")
         .option("width", codec.width)
         .option("job", job)
-        .option("on_exists", "overwrite" if mode == OVERWRITE else "skip")
+        .option("on_exists", _ON_EXISTS[mode])
         .mode("append")
         .save(dst)
     )
@@ -126,6 +135,26 @@ def publish(
     return outcome(shards, report)
 
 
+def all_published(report: DataFrame) -> DataFrame:
+    """The report of a publish; raises if a file failed."""
+    failed = report.filter(F.col("status") == "failed").orderBy("shard_id")
+    first = failed.select("file_name", "error").limit(NAMED).collect()
+    if first:
+        named = "; ".join(f"{row.file_name}: {row.error}" for row in first)
+        raise RuntimeError(f"{failed.count()} shards could not be published: {named}")
+    return report
+
+
+def _same_lengths(plan: DataFrame, there: DataFrame) -> None:
+    """Raises if a planned file is in place with another length."""
+    planned = F.col("n_tokens") * 4 + len(npy_header(0))
+    other = plan.join(there.select("file_name", "length"), "file_name").filter(F.col("length") != planned)
+    first = other.orderBy("shard_id").select("file_name").limit(NAMED).collect()
+    if first:
+        named = ", ".join(row.file_name for row in first)
+        raise ValueError(f"{other.count()} files there have another length than planned: {named}")
+
+
 def adopt(plan: DataFrame, dst: str, shard_size: int = SHARD_SIZE) -> None:
     """Record planned files that are in place, of the right length, but in no manifest.
 

@@ -65,7 +65,7 @@ class TokenShardSource(DataSource):
             self.options["path"],
             self.options.get("job") or uuid.uuid4().hex,
             int(self.options.get("width", 4)),
-            overwrite or self.options.get("on_exists", "skip") == "overwrite",
+            "overwrite" if overwrite else self.options.get("on_exists", "skip"),
         )
 
 
@@ -85,8 +85,12 @@ class StagedFiles(WriterCommitMessage):
 
 
 class TokenShardWriter(DataSourceArrowWriter):
-    def __init__(self, path: str, job: str, width: int, overwrite: bool) -> None:
-        self.path, self.job, self.width, self.overwrite = path, job, width, overwrite
+    """``on_exists``: ``overwrite``, ``skip`` (a file of another length there is a failure), or
+    ``grow`` (a shorter file there, a shard that was flushed before it was full, is replaced).
+    """
+
+    def __init__(self, path: str, job: str, width: int, on_exists: str) -> None:
+        self.path, self.job, self.width, self.on_exists = path, job, width, on_exists
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> StagedFiles:
         fs, root = resolve(self.path)
@@ -148,13 +152,19 @@ class TokenShardWriter(DataSourceArrowWriter):
         }
         target = f"{root}/{file.file_name}"
         try:
-            present = fs.get_file_info(target).type != pafs.FileType.NotFound
-            if present and not self.overwrite:
-                row["status"] = "skipped"
-            else:
+            there = fs.get_file_info(target)
+            length = file.n_tokens * 4 + len(npy_header(file.n_tokens))
+            if there.type == pafs.FileType.NotFound or self.on_exists == "overwrite" or (
+                self.on_exists == "grow" and there.type == pafs.FileType.File and there.size < length
+            ):
                 fs.create_dir(target.rpartition("/")[0], recursive=True)
                 fs.move(file.staged, target)
-        except OSError as error:
+            elif there.size == length:
+                row["status"] = "skipped"
+            else:
+                row["status"] = "failed"
+                row["error"] = f"a file of {there.size} bytes is in the place of one of {length}"
+        except Exception as error:  # one file's trouble must not hide the others' outcome
             row["status"], row["error"] = "failed", str(error)
         return row
 

@@ -18,7 +18,7 @@ from shardloom.functions.naming import ThreeWay, TwoWay, with_layout
 from shardloom.functions.vocab import ByteVocab, Packed, RankVocab
 from shardloom.operators.offsets import token_offsets
 from shardloom.operators.packing import SHARD_SIZE, shard_manifest, shard_tokens
-from shardloom.plans.build import adopt, publish, read_manifest
+from shardloom.plans.build import GROW, adopt, all_published, publish, read_manifest
 from shardloom.session import attach, written
 from shardloom.sources.corpus import SOURCE_ORDER, positioned
 from shardloom.sources.paths import exists, resolve
@@ -59,7 +59,11 @@ class StreamPacker:
             self._pack(batch, batch_id)
 
     def finalize(self) -> DataFrame:
-        """Publish the partial shard, if any tokens are left; returns the manifest."""
+        """Publish the partial shard, if any tokens are left; returns the manifest.
+
+        More batches may follow: the open shard's rows are still state, and its full version
+        takes the place of the partial one.
+        """
         if self._saved():
             self._pack(None, max(self._saved()) + 1)
         return read_manifest(self.spark, self.dst)
@@ -85,8 +89,9 @@ class StreamPacker:
         n_done = shards.filter(done).count()
         if n_done:
             report = publish(
-                tokens, shards.filter(done), self.packed, self.dst, self.shard_size, self.layout
+                tokens, shards.filter(done), self.packed, self.dst, self.shard_size, self.layout, GROW
             )
+            all_published(report)  # else the state stays, and the batch is tried again
             if not report.filter(F.col("status") == "skipped").isEmpty():  # a replay
                 adopt(shards.filter(done), self.dst, self.shard_size)
         if not last:
@@ -128,9 +133,16 @@ class StreamPacker:
             "doc_no",
         )
         carry.write.mode("overwrite").parquet(f"{folder}/carry")
-        self.spark.createDataFrame([mark], "next_shard bigint, docs_seen bigint").write.mode(
-            "overwrite"
-        ).parquet(f"{folder}/mark")
+        row = (*mark, self._settings())
+        columns = "next_shard bigint, docs_seen bigint, settings string"
+        self.spark.createDataFrame([row], columns).write.mode("overwrite").parquet(f"{folder}/mark")
+
+    def _settings(self) -> str:
+        """What shapes the shards; a run that goes on from a state must agree in it."""
+        return repr((
+            self.vocab.fingerprint, self.eot, self.shard_size, self.layout, self.id_col,
+            self.text_col, self.order_by,
+        ))
 
     def _state(self, batch_id: int) -> tuple[DataFrame | None, int, int]:
         before = [saved for saved in self._saved() if saved < batch_id]
@@ -138,6 +150,8 @@ class StreamPacker:
             return None, 0, 0
         folder = self._folder(max(before))
         mark = self.spark.read.parquet(f"{folder}/mark").first()
+        if mark.settings != self._settings():
+            raise ValueError(f"the state was made with other settings: {mark.settings}")
         return self.spark.read.parquet(f"{folder}/carry"), mark.next_shard, mark.docs_seen
 
     def _saved(self) -> list[int]:

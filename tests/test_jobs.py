@@ -118,10 +118,9 @@ def test_files_present_are_left_alone_or_replaced(spark, source, folder):
     shards, _ = pack(DOCUMENTS, SIZE)
     Path(folder, "val").mkdir()
     np.save(f"{folder}/val/val_0001.npy", np.array([7], "<u4"))
-    manifest = build_small(spark, source, folder)
+    with pytest.raises(ValueError, match="val/val_0001.npy"):  # not of the planned length
+        build_small(spark, source, folder)
     assert np.load(f"{folder}/val/val_0001.npy").tolist() == [7]
-    # Not ours and not of the planned length: published by nobody this run knows.
-    assert {row.shard_id for row in manifest.collect()} == set(range(len(shards))) - {1}
     build_small(spark, source, folder, mode=OVERWRITE)
     assert shards_on_disk(folder) == shards
 
@@ -269,3 +268,16 @@ def test_a_new_plan_does_not_list_what_an_old_one_left(spark, source, folder):
     assert old > len(shards)
     rows = manifest.orderBy("shard_id").collect()
     assert [(row.n_tokens, row.checksum) for row in rows] == [(len(s), checksum(s)) for s in shards]
+
+
+def test_a_grown_corpus_is_an_error_unless_overwritten(spark, folder):
+    src, dst = os.path.join(folder, "src"), os.path.join(folder, "dst")
+    rows = [(i, "text " * 9) for i in range(12)]
+    options = {"order_by": "id", "shard_size": 100}
+    spark.createDataFrame(rows[:5], "id bigint, text string").write.parquet(src)
+    build(spark, src, dst, **options)
+    spark.createDataFrame(rows[5:], "id bigint, text string").write.mode("append").parquet(src)
+    with pytest.raises(ValueError, match="another length"):
+        build(spark, src, dst, **options)
+    manifest = build(spark, src, dst, mode=OVERWRITE, **options).collect()
+    assert sum(row.n_tokens for row in manifest) == 12 * 46

@@ -71,3 +71,26 @@ def test_a_replayed_batch_changes_nothing(spark, folder, inbox):
 
 def test_nothing_arrived(spark, folder):
     assert packer(spark, folder).finalize().count() == 0
+
+
+def test_other_settings_are_refused(spark, folder):
+    docs = spark.createDataFrame([(i, "text " * 9) for i in range(9)], "id bigint, text string")
+    first = StreamPacker(spark, folder, order_by="id", shard_size=64)
+    first(docs, 0)
+    other = StreamPacker(spark, folder, order_by="id", shard_size=32)
+    with pytest.raises(ValueError, match="other settings"):
+        other(docs, 1)
+
+
+def test_a_failed_file_keeps_the_batch(spark, folder):
+    docs = spark.createDataFrame([(i, "text " * 9) for i in range(9)], "id bigint, text string")
+    packer = StreamPacker(spark, folder, order_by="id", shard_size=64)
+    blocked = os.path.join(folder, "val")
+    with open(blocked, "w") as out:
+        out.write("in the way")
+    with pytest.raises(RuntimeError, match="could not be published"):
+        packer(docs, 0)
+    os.rename(blocked, blocked + ".aside")
+    packer(docs, 0)
+    total = sum(row.n_tokens for row in packer.finalize().collect())
+    assert total == 9 * 46
