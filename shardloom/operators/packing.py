@@ -17,6 +17,9 @@ SHARD_SIZE = 100_000_000
 # worked off in rounds, each scanning only its own span of positions.
 MAX_BROADCAST_CUTS = 1 << 20
 
+# Tokens that one task assembles and writes at most, but for shards that are larger: 1 GB of file.
+TASK_TOKENS = 1 << 28
+
 CUT_COLUMNS = ["shard_id", "first_pos", "first_from", "last_pos", "last_to", "n_tokens"]
 
 
@@ -93,7 +96,8 @@ def shard_tokens(
     ``tokens`` is a tokenized corpus ``(pos, id, n, body)``, ``cuts`` any rows of its
     manifest. One shuffle moves each wanted token range once, still in compact form;
     documents outside the wanted shards are dropped before it. Every shard is whole and in
-    order inside one partition, and partitions get equally many shards.
+    order inside one partition, and partitions get equally many shards; their number grows
+    with the tokens (``TASK_TOKENS``), whatever ``spark.sql.shuffle.partitions`` says.
     """
     wanted = cuts.select(*CUT_COLUMNS)
     table = _collected(wanted.limit(MAX_BROADCAST_CUTS + 1))
@@ -124,7 +128,8 @@ def _assemble(
     parallel = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
     )
-    parts = max(1, min(len(table), parallel))
+    tasks = -(-int(table[:, -1].sum()) // TASK_TOKENS)
+    parts = max(1, min(len(table), max(parallel, tasks)))
     # The span of the wanted shards, for the scan; nothing is wanted from an empty list.
     span = F.col("pos").between(int(table[0, 1]), int(table[-1, 3])) if len(table) else F.lit(False)
     place = placement(spark, table, parts)

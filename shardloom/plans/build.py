@@ -63,7 +63,7 @@ def build(
     if resume and order_by is None:
         raise ValueError("arrival order cannot be reproduced, so it cannot be resumed")
     settings = (vocab.fingerprint, eot, shard_size, layout, id_col, text_col, order_by, glob)
-    plan_path = f"{dst}/{PLAN}/{fingerprint(spark, src, settings)}"
+    plan_path = f"{dst}/{PLAN}/{fingerprint(spark, src, settings, glob)}"
     resuming = resume and _planned(dst, plan_path)
 
     staged = None
@@ -195,11 +195,18 @@ def present(spark: SparkSession, dst: str) -> DataFrame:
     return list_objects(spark, dst, suffix=".npy")
 
 
-def fingerprint(spark: SparkSession, src: str | Sequence[str], settings: tuple) -> str:
-    """Identifies a plan: the settings that shape it and the input files it was made from."""
-    reader = spark.read.option("recursiveFileLookup", "true")
-    files = reader.parquet(*([src] if isinstance(src, str) else src)).select(
-        "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time"
+def fingerprint(
+    spark: SparkSession, src: str | Sequence[str], settings: tuple, glob: str | None = None
+) -> str:
+    """Identifies a plan: the settings that shape it and the input files it was made from.
+
+    Files are listed, not read; those that ``glob`` leaves out play no part.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if glob is not None:
+        reader = reader.option("pathGlobFilter", glob)
+    files = reader.load(src if isinstance(src, str) else list(src)).select(
+        "path", "length", "modificationTime"
     )
     mix = files.distinct().agg(F.bit_xor(F.xxhash64("*")).alias("mix"), F.count("*").alias("n"))
     return hashlib.sha256(repr((settings, tuple(mix.first()))).encode()).hexdigest()[:32]

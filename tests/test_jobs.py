@@ -281,3 +281,13 @@ def test_a_grown_corpus_is_an_error_unless_overwritten(spark, folder):
         build(spark, src, dst, **options)
     manifest = build(spark, src, dst, mode=OVERWRITE, **options).collect()
     assert sum(row.n_tokens for row in manifest) == 12 * 46
+
+
+def test_files_outside_the_glob_do_not_change_the_plan(spark, folder):
+    path = f"{folder}/in"
+    spark.createDataFrame(DOCUMENTS, "id string, text string").coalesce(1).write.parquet(path)
+    first = build_small(spark, path, f"{folder}/out", glob="*.parquet").count()
+    Path(path, "notes.txt").write_text("not a part of the corpus")
+    again = build_small(spark, path, f"{folder}/out", glob="*.parquet", resume=True).count()
+    assert again == first
+    assert len(list(Path(folder, "out", "plan").iterdir())) == 1

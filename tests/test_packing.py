@@ -112,6 +112,22 @@ def test_many_cuts_are_placed_in_rounds(spark, monkeypatch):
     assert assembled(spark, texts, 64) == pack(list(enumerate(texts)), 64)[0]
 
 
+def test_write_tasks_follow_the_tokens(spark, monkeypatch):
+    texts = [f"document {i} " * (i % 5) for i in range(40)]
+    shards, _ = pack(list(enumerate(texts)), 16)
+    before = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    used = []
+    for bound in (1 << 28, 64, 16):
+        monkeypatch.setattr(packing_module, "TASK_TOKENS", bound)
+        tokens, offsets = offsets_of(spark, texts)
+        rows = shard_tokens(tokens, shard_manifest(offsets, 16), VOCAB.codec())
+        used.append(rows.select(F.spark_partition_id().alias("p")).distinct().count())
+        assert assembled(spark, texts, 16) == shards
+    total = sum(map(len, shards))
+    assert used[0] <= max(before, spark.sparkContext.defaultParallelism) < used[1] < used[2]
+    assert used[1:] == [-(-total // 64), len(shards)]
+
+
 @pytest.mark.parametrize("bits,root", [(16, 1 << 20), (3, 1 << 20), (12, 4)])
 def test_offsets_do_not_depend_on_bucketing(spark, monkeypatch, bits, root):
     monkeypatch.setattr(offsets_module, "BUCKET_BITS", bits)
