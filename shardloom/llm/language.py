@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardloom.llm.tables import clear_name, quoted
+from shardloom.llm.tables import clear_name, least_hashed, quoted
 from shardloom.llm.text import encoded
 from shardloom.session import attach
 
@@ -185,13 +185,8 @@ def train(
     pieces = F.array(*[
         F.substring(F.col("text"), step * k + 1, F.lit(WINDOW)) for k in range(SAMPLE_WINDOWS)
     ])
-    rows = (
-        labelled.select("label", pieces.alias("pieces"), F.xxhash64("id", "text", F.lit(seed)).alias("at"))
-        .orderBy("at", "label")
-        .limit(sample)
-        .select("label", "pieces")
-        .collect()
-    )
+    drawn = labelled.select("label", pieces.alias("pieces"), F.xxhash64("id", "text", F.lit(seed)).alias("at"))
+    rows = least_hashed(drawn, "at", sample).select("label", "pieces").collect()
     if not rows:
         return None
     labels = sorted({row.label for row in rows})

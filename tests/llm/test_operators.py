@@ -437,3 +437,14 @@ def test_empty_tables(none, model):
     assert sharding.shard(none).count() == 0
     assert mixing.mix(none).count() == 0
     assert token_counts.count_tokens(none, model).count() == 0
+
+
+def test_least_hashed_is_the_top_n_of_distinct_rows(spark):
+    from shardloom.llm.tables import least_hashed
+
+    rows = spark.range(5000).select("id", F.xxhash64("id").alias("at"))
+    rows = rows.union(rows.filter("id < 3000"))
+    for n in (200, 1000, 20_000):
+        wanted = [r.id for r in rows.distinct().orderBy("at").limit(n).collect()]
+        assert [r.id for r in least_hashed(rows, "at", n).collect()] == wanted
+    assert least_hashed(rows.filter("false"), "at", 5).collect() == []
