@@ -21,7 +21,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardloom.llm.tables import clear_name, quoted
+from shardloom.llm.tables import clear_name, least_hashed, quoted
 from shardloom.session import attach
 
 # The training sample: so many pages at most, by a hash of the url and page.
@@ -422,11 +422,10 @@ def train(pages: DataFrame, html_col: str = "html", url_col: str = "url", sample
     forms, adverts and comments made of its words, so that class names, link shares and
     sizes are learnt and not the tags alone. None without such a page.
     """
-    rows = (
-        pages.filter(F.lower(quoted(html_col)).rlike("<(article|main)[ >]"))
-        .select(quoted(html_col).alias("html"), F.xxhash64(quoted(url_col), quoted(html_col), F.lit(seed)).alias("at"))
-        .orderBy("at").limit(sample).select("html").collect()
+    shaped = pages.filter(F.lower(quoted(html_col)).rlike("<(article|main)[ >]")).select(
+        quoted(html_col).alias("html"), F.xxhash64(quoted(url_col), quoted(html_col), F.lit(seed)).alias("at")
     )
+    rows = least_hashed(shaped, "at", sample).select("html").collect()
     rng = np.random.default_rng(seed)
     tables, targets = [], []
     for row in rows:
