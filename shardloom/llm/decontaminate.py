@@ -5,7 +5,8 @@ overlap by half, long enough that any item lies whole in one. Every passage is a
 every item that scores at least a share of what it scores on itself is retrieved: blocks
 of items are skipped while the sum of their terms' greatest impacts stays below it, the
 rest are scored term by term. Retrieved items are then verified: enough of the question's
-and of the answer's word shingles must stand in the passage.
+and of the answer's word shingles must stand in the passage. An item that has one text is cut
+near its middle; shingles are narrower in parts so short that one edited word could break most.
 
 The index goes to the tasks, so documents are neither shuffled nor joined. Beyond a checked
 size it is split, and the documents are scanned once for each split.
@@ -14,6 +15,7 @@ size it is split, and the documents are scanned once for each split.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import defaultdict
 from functools import reduce
 from itertools import chain, repeat
@@ -45,7 +47,9 @@ _HIT = "struct<item:string,score:double,question:double,answer:double,at:bigint>
 _FOLDED = bytes(ord(chr(b).lower()) if chr(b).isalnum() or b > 127 else 32 for b in range(128)) + bytes(range(128, 256))
 # The same words in Spark's regular expressions, for text in lower case.
 _SPARK_WORD = r"[0-9a-z\x{80}-\x{10FFFF}]+"
-_SENTENCE = re.compile(r"[.?!]\s+")
+_SENTENCE = re.compile(r"[.?!](?=\s)")
+# The same words in text.
+_WORD = re.compile(r"[0-9A-Za-z\x80-\U0010FFFF]+")
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -57,16 +61,29 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 def split_item(text: str) -> tuple[str, str]:
-    """Question and answer of an item that has one text: its first sentence and the rest.
+    """Two parts of an item that has one text, cut at the sentence end nearest the middle.
 
-    With one sentence only, the first and the second half of the words.
+    Each part has at least a third of the words, and five; without such a sentence end the cut
+    is at half the words. So an edit or omission of a tenth leaves the greater part of both.
     """
-    cut = _SENTENCE.search(text)
-    if cut and text[cut.end() :].strip():
-        return text[: cut.end()], text[cut.end() :]
-    parts = text.split()
-    half = (len(parts) + 1) // 2
-    return " ".join(parts[:half]), " ".join(parts[half:])
+    starts = [word.start() for word in _WORD.finditer(text)]
+    least = max(SHINGLE, -(-len(starts) // 3))
+    ends = [(sentence.end(), bisect_left(starts, sentence.end())) for sentence in _SENTENCE.finditer(text)]
+    ends = [(cut, before) for cut, before in ends if least <= before <= len(starts) - least]
+    half = (len(starts) + 1) // 2
+    if ends:
+        cut = min(ends, key=lambda end: abs(2 * end[1] - len(starts)))[0]
+    else:
+        cut = starts[half] if half < len(starts) else len(text)
+    return text[:cut], text[cut:]
+
+
+def tolerant_width(n: int) -> int:
+    """Words to a shingle of a part of ``n`` words that was cut from a text.
+
+    The widest up to ``SHINGLE`` of which one edited word leaves half, and two at least.
+    """
+    return max(2, min(SHINGLE, (n + 1) // 3))
 
 
 def shingles(words: list[bytes], width: int = SHINGLE) -> set[tuple[bytes, ...]]:
@@ -86,13 +103,19 @@ class Index:
         frequency: dict[bytes, int],
         n: int,
         average: float,
+        own_parts: bool = False,
     ):
-        """``items``: whole text, question, answer. The rest is counted over all items there are."""
+        """``items``: whole text, question, answer. The rest is counted over all items there are.
+
+        ``own_parts``: question and answer were given, not cut from the text.
+        """
         self.ids = ids
         self.threshold = THRESHOLD
-        self.items = [
-            (shingles(words_of(question)), shingles(words_of(answer))) for _, question, answer in items
-        ]
+        self.items = []
+        for _, *parts in items:
+            of = [words_of(part) for part in parts]
+            widths = [SHINGLE if own_parts else tolerant_width(len(words)) for words in of]
+            self.items.append([(width, shingles(words, width)) for width, words in zip(widths, of, strict=True)])
         postings: dict[bytes, list[tuple[int, float]]] = defaultdict(list)
         self.impacts: list[list[tuple[bytes, float]]] = []
         longest = 0
@@ -176,13 +199,12 @@ class Index:
 
     def _score(self, passage: list[bytes], block: int, text: int, at: int, hits) -> None:
         words = set(passage)
-        there = None
+        there: dict[int, set[tuple[bytes, ...]]] = {}  # by width
         for i in range(block * BLOCK_ITEMS, min((block + 1) * BLOCK_ITEMS, len(self.items))):
             score = sum(value for word, value in self.impacts[i] if word in words)
             if score < self.threshold:
                 continue
-            there = there or shingles(passage)
-            question, answer = (_share(part, there, passage) for part in self.items[i])
+            question, answer = (_share(part, width, there, passage) for width, part in self.items[i])
             known = hits.get((text, i))
             if min(question, answer) >= OVERLAP and (known is None or score > known["score"]):
                 hits[text, i] = {
@@ -190,15 +212,16 @@ class Index:
                 }
 
 
-def _share(part: set[tuple[bytes, ...]], there: set[tuple[bytes, ...]], passage: list[bytes]) -> float:
+def _share(
+    part: set[tuple[bytes, ...]], width: int, there: dict[int, set[tuple[bytes, ...]]], passage: list[bytes]
+) -> float:
     """Share of the shingles that the passage has; an empty part is there."""
     if not part:
         return 1.0
-    short = next(iter(part))
-    if len(short) < SHINGLE:  # a part of fewer words is looked up as it is
-        width = len(short)
-        return float(any(tuple(passage[i : i + width]) == short for i in range(len(passage) - width + 1)))
-    return len(part & there) / len(part)
+    width = min(width, len(next(iter(part))))  # a part of fewer words is looked up as it is
+    if width not in there:
+        there[width] = shingles(passage, width)
+    return len(part & there[width]) / len(part)
 
 
 def _halves(text: Column) -> Column:
@@ -212,10 +235,13 @@ def _halves(text: Column) -> Column:
     return apply(text)
 
 
+def _has_parts(items: DataFrame) -> bool:
+    return {"question", "answer"} <= {c.lower() for c in items.columns}
+
+
 def _parted(items: DataFrame, id_col: str) -> DataFrame:
     """``(item, text, question, answer)`` of the items with a word; answers may be columns of their own."""
-    names = {c.lower() for c in items.columns}
-    if {"question", "answer"} <= names:
+    if _has_parts(items):
         text = F.concat_ws(" ", F.col("question"), F.col("answer"))
         parts = items.select(quoted(id_col).alias("item"), text.alias("text"), "question", "answer")
     else:
@@ -241,12 +267,13 @@ def indexes(items: DataFrame, id_col: str = "item_id", most_bytes: int = INDEX_B
     spread = table.select(split.alias("split"), F.explode(F.array_distinct(words)).alias("word"))
     frequency = spread.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     used = kept(spread.distinct().join(frequency, "word"), "terms")
+    own_parts = _has_parts(items)
     for k in range(splits):
         rows = table.filter(split == k).orderBy("item", "text").collect()
         df = {row.word.encode(): row.df for row in used.filter(F.col("split") == k).collect()}
         texts = [tuple(x.encode() for x in (r.text, r.question, r.answer)) for r in rows]
         ids = [None if r.item is None else str(r.item) for r in rows]
-        yield Index(ids, texts, df, facts.n, float(facts.average or 0))
+        yield Index(ids, texts, df, facts.n, float(facts.average or 0), own_parts)
 
 
 def hits_in(text: Column, index: Broadcast) -> Column:

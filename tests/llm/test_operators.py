@@ -338,6 +338,34 @@ def test_decontamination_equals_brute_force(spark):
     assert decontaminate.clean(docs, bench.limit(0)).count() == len(texts)
 
 
+def test_edited_and_truncated_items_are_found(spark):
+    rng = random.Random(10)
+    long = sentence(rng, 40).split()
+    first, five, short = sentence(rng, 3), sentence(rng, 5), sentence(rng, 15).split()
+    words = " ".join(long)
+    texts = [f"{first}. {words}.", f"{words}. {first}.", f"{five}. {words}", " ".join(short)]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id bigint, text string")
+    one = " ".join(["other", *first.split()[1:]])
+    copies = [(0, f"{one}. {words}."), (0, f"{words}."), (1, f"{words}. {one}"), (2, f"{five[:-3]}x. {words}"), (2, words)]
+    copies += [(3, " ".join([*short[:i], "other", *short[i + 1 :]])) for i in range(15)]
+    alone = [first, f"{first}. {' '.join(long[:9])}", " ".join(short[:8]), f"{sentence(rng, 50)} {short[0]}"]
+    rows = [(k, f"{sentence(rng, 30)} {text} {sentence(rng, 30)}") for k, text in enumerate([*(t for _, t in copies), *alone])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items).collect()}
+    assert {(k, item) for k, (item, _) in enumerate(copies)} <= found
+    assert not {k for k, _ in found} & set(range(len(copies), len(rows)))
+    assert decontaminate.clean(docs, items).count() == len(alone)
+
+
+def test_items_are_cut_near_the_middle():
+    for text in ("", "...", "one", "a b. c d", "Yes. " + "w " * 30, "w " * 20 + "end. " + "w " * 18, "a.\u00a0b " * 9):
+        parts = [decontaminate.words_of(part.encode()) for part in decontaminate.split_item(text)]
+        assert parts[0] + parts[1] == decontaminate.words_of(text.encode())
+        assert abs(len(parts[0]) - len(parts[1])) <= 3
+    assert decontaminate.split_item("w " * 20 + "end. " + "w " * 18)[0].endswith("end.")
+    assert decontaminate.split_item("o p q r s t. u v w x y z.")[0] == "o p q r s t."
+
+
 def test_block_bounds_lose_no_item():
     rng = random.Random(9)
     texts = [sentence(rng, rng.randint(10, 30)) for _ in range(25)]
