@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardloom.llm.tables import clear_name, least_hashed, quoted
+from shardloom.llm.tables import clear_name, least_hashed_of_each, quoted
 from shardloom.llm.text import encoded
 from shardloom.session import attach
 
@@ -24,7 +24,7 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 8
 EMBEDDING = 8
-# The training sample: so many labelled documents at most, by a hash of the id, so many
+# The training sample: so many documents of each label at most, by a hash of the id, so many
 # windows of each. Held-out documents are never among them.
 SAMPLE_DOCUMENTS = 2_000
 SAMPLE_WINDOWS = 4
@@ -172,11 +172,12 @@ def train(
     steps: int = STEPS,
     seed: int = SEED,
 ) -> ByteNet | None:
-    """A network fitted on at most ``sample`` labelled documents that are not held out.
+    """A network fitted on at most ``sample`` documents of each label that are not held out.
 
-    The sample is the least by a hash of id and text; only it comes to the driver, and of each
-    text ``SAMPLE_WINDOWS`` windows spread over its whole length. Without a labelled text
-    there is nothing to learn and the result is None.
+    Every label with such a document is learnt, however rare. The sample is the least of each
+    label by a hash of id and text; only it comes to the driver, and of each text
+    ``SAMPLE_WINDOWS`` windows spread over its whole length: some 2 MB for a label. Without a
+    labelled text there is nothing to learn and the result is None.
     """
     labelled = docs.filter(
         ~held_out(quoted(id_col)) & quoted(label_col).isNotNull() & (F.octet_length(quoted(text_col)) > 0)
@@ -186,7 +187,7 @@ def train(
         F.substring(F.col("text"), step * k + 1, F.lit(WINDOW)) for k in range(SAMPLE_WINDOWS)
     ])
     drawn = labelled.select("label", pieces.alias("pieces"), F.xxhash64("id", "text", F.lit(seed)).alias("at"))
-    rows = least_hashed(drawn, "at", sample).select("label", "pieces").collect()
+    rows = least_hashed_of_each(drawn, "label", "at", sample).select("label", "pieces").collect()
     if not rows:
         return None
     labels = sorted({row.label for row in rows})

@@ -55,6 +55,24 @@ def least_hashed(df: DataFrame, at: str, n: int) -> DataFrame:
     return below.distinct().orderBy(at, *[quoted(c) for c in df.columns if c != at]).limit(n)
 
 
+def least_hashed_of_each(df: DataFrame, key: str, at: str, n: int) -> DataFrame:
+    """For each value of ``key`` what :func:`least_hashed` gives of its rows, by key and ``at``.
+
+    The values' counts are broadcast: a row for each. A null key is no value.
+    """
+    value, low, place = (clear_name(df, c) for c in ("_value", "_low", "_place"))
+    share = F.lit(2.0 * n + 64) / F.approx_count_distinct(at)
+    bound = F.when(share >= 1, F.lit((1 << 63) - 1)).otherwise((share * 2.0**64 - 2.0**63).cast("bigint"))
+    bounds = df.groupBy(quoted(key).alias(value)).agg(bound.alias(low))
+    below = df.join(F.broadcast(bounds), quoted(key) == F.col(value)).filter(quoted(at) <= F.col(low))
+    own = [quoted(c) for c in df.columns]
+    order = [quoted(at), *[quoted(c) for c in df.columns if c not in (key, at)]]
+    placed = below.select(*own).distinct().withColumn(
+        place, F.row_number().over(Window.partitionBy(quoted(key)).orderBy(*order))
+    )
+    return placed.filter(F.col(place) <= n).orderBy(quoted(key), *order).select(*own)
+
+
 def number_rows(
     df: DataFrame,
     out: str,

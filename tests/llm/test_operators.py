@@ -457,6 +457,37 @@ def test_language(spark):
     assert language.identify(df, None).filter("lang_pred != 'und'").count() == 0
 
 
+def test_a_rare_language_is_learnt(spark):
+    table = {"x": "abcde", "y": "fghij", "z": "klmno"}
+    rows = spark.range(40_000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 10_000 == 77, "z").when(F.col("id") % 2 == 0, "x").otherwise("y").alias("lang"),
+    )
+    letters = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])[F.col("lang")]
+    word = F.concat(*[F.substr(letters, F.pmod(F.xxhash64("doc_id", F.lit(k)), F.lit(5)) + 1, F.lit(1)) for k in range(5)])
+    df = rows.withColumn("text", F.repeat(F.concat(word, F.lit(" ")), F.lit(12)))
+    rare = df.filter("lang = 'z'")
+    assert rare.filter(~language.held_out(F.col("doc_id"))).count() > 0
+    net = language.train(df, steps=80)
+    assert net.labels == ["x", "y", "z"]
+    assert language.identify(rare, net).filter("lang_pred != 'z'").count() == 0
+
+
+def test_least_hashed_of_each(spark):
+    from shardloom.llm.tables import least_hashed_of_each
+
+    key = F.when(F.col("id") < 9, "rare").when(F.col("id") < 20, None).otherwise("often")
+    rows = spark.range(9000).select("id", key.alias("key"), F.xxhash64("id").alias("at"))
+    rows = rows.union(rows.filter("id < 4000"))
+    for n in (5, 300, 20_000):
+        wanted = []
+        for k in ("often", "rare"):
+            of = rows.filter(F.col("key") == k).distinct().orderBy("at").limit(n)
+            wanted += [(r.key, r.id) for r in of.collect()]
+        assert [(r.key, r.id) for r in least_hashed_of_each(rows, "key", "at", n).collect()] == wanted
+    assert least_hashed_of_each(rows.filter("false"), "key", "at", 5).collect() == []
+
+
 def test_empty_tables(none, model):
     assert repeats.without_repeats(none).count() == 0
     assert near_dedup.near_duplicates(none).count() == 0
