@@ -60,7 +60,8 @@ BAD = frozenset(
 BAD_TAGS = frozenset("nav footer aside header menu".split()) | FORMS
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>?|<\?[^>]*>?|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[a-zA-Z/][^>]*$|[^<]+|<", re.S)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+# A name and its value, one pair after another; a quote that the tag's end cuts off is a value too.
+_ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*("[^"]*"?|'[^']*'?|[^\s>]*))?""")
 _PART = re.compile(r"[a-z]+")
 _BLANK = re.compile(r"[\s]+")
 _STOPS = re.compile(r"[.,;:!?]")
@@ -158,7 +159,7 @@ def _end_item(nodes: list[Node], stack: list[int], ended: set[str]) -> None:
 
 def _describe(node: Node, attributes: str) -> None:
     node.hidden = node.tag in HIDDEN
-    if "=" not in attributes and "hidden" not in attributes:
+    if "=" not in attributes and "hidden" not in attributes.lower():
         return
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
@@ -336,15 +337,35 @@ def rendered(nodes: list[Node], own: Sequence[bool]) -> str:
     return _BLANK.sub(" ", "".join(out)).strip()
 
 
+def _barred(nodes: list[Node], tags: frozenset = BAD_TAGS, tokens: bool = True, spared: Sequence[str] = ()) -> np.ndarray:
+    """Hidden elements, those of ``tags`` or with bad tokens (elements of ``spared`` may have them), and all below."""
+    barred = np.zeros(len(nodes), bool)
+    for i, node in enumerate(nodes):
+        own = node.hidden or node.tag in tags or (tokens and node.bad > 0 and node.tag not in spared)
+        barred[i] = own or (node.parent >= 0 and barred[node.parent])
+    return barred
+
+
 def _weak_labels(nodes: list[Node]) -> np.ndarray:
     """Teacher: text below ``article`` or ``main``, outside of menus, forms and the like."""
     inside = np.zeros(len(nodes), bool)
-    barred = np.zeros(len(nodes), bool)
     for i, node in enumerate(nodes):
-        up = node.parent
-        barred[i] = (up >= 0 and barred[up]) or node.hidden or node.tag in BAD_TAGS or node.bad > 0
-        inside[i] = (up >= 0 and inside[up]) or node.tag in ("article", "main")
-    return inside & ~barred
+        inside[i] = (node.parent >= 0 and inside[node.parent]) or node.tag in ("article", "main")
+    return inside & ~_barred(nodes)
+
+
+def _untaught(nodes: list[Node]) -> np.ndarray:
+    """The rule without a model: the teacher's, where that leaves text, else all outside of barred elements.
+
+    A page that lies in a form as a whole, or in an element named after its sidebar, is not
+    lost: if no text is left, names and forms bar nothing.
+    """
+    labels = _weak_labels(nodes)
+    if not rendered(nodes, labels):
+        labels = ~_barred(nodes, spared=("html", "body"))
+    if not rendered(nodes, labels):
+        labels = ~_barred(nodes, BAD_TAGS - {"form", "fieldset"}, tokens=False)
+    return labels
 
 
 # Shapes that pages take elsewhere: what an article and what sits around it may look like.
@@ -422,7 +443,7 @@ def train(pages: DataFrame, html_col: str = "html", url_col: str = "url", sample
     forms, adverts and comments made of its words, so that class names, link shares and
     sizes are learnt and not the tags alone. None without such a page.
     """
-    shaped = pages.filter(F.lower(quoted(html_col)).rlike("<(article|main)[ >]")).select(
+    shaped = pages.filter(F.lower(quoted(html_col)).rlike(r"<(article|main)[\s/>]")).select(
         quoted(html_col).alias("html"), F.xxhash64(quoted(url_col), quoted(html_col), F.lit(seed)).alias("at")
     )
     rows = least_hashed(shaped, "at", sample).select("html").collect()
@@ -463,7 +484,7 @@ def _texts(lot: list[list[Node]], model: Boosted | None) -> Iterator[str]:
     if not lot:
         return
     if model is None:
-        odds = [np.where(_weak_labels(nodes), 1.0, -1.0) for nodes in lot]
+        odds = [np.where(_untaught(nodes), 1.0, -1.0) for nodes in lot]
     else:
         joined = model.predict(np.concatenate([features(nodes) for nodes in lot]))
         odds = np.split(joined, np.cumsum([len(nodes) for nodes in lot])[:-1])
@@ -475,7 +496,8 @@ def extract(pages: DataFrame, model: Boosted | None, html_col: str = "html") ->
     """All columns of ``pages`` and ``text, n_chars``; one pass without a shuffle.
 
     Null and empty pages, and those of markup alone, give an empty text. Without a model,
-    because there was no page to learn from, the teacher's rule decides. Repeated pages
+    because there was no page to learn from, it is the text below ``article`` or ``main``, or
+    on pages without it all visible text outside of menus, forms and the like. Repeated pages
     give equal texts. Columns of ``pages`` named like a new one are replaced.
     """
     spark = attach(pages.sparkSession)

@@ -430,6 +430,39 @@ def test_html(spark):
     assert html.extract(df.limit(0), None).count() == 0
 
 
+@pytest.mark.parametrize(
+    "attributes, hidden, good, bad",
+    [
+        (' href="/wiki/Hidden_Figures"', False, 0, 0), (' title="The hidden valley"', False, 0, 0),
+        (' data-hidden="false"', False, 0, 0), (" href=/a/hidden", False, 0, 0), (" hidden-x class=story", False, 1, 0),
+        (' data-class="sidebar" alt="x class=nav"', False, 0, 0), (""" title='a role="menu" hidden'""", False, 0, 0),
+        (" hidden", True, 0, 0), (" HIDDEN", True, 0, 0), (' class="post" hidden=""', True, 1, 0), (" id = 'nav'/", False, 0, 1),
+        (' aria-hidden="true"', True, 0, 0), (' aria-hidden="false"', False, 0, 0), (' style="display: none"', True, 0, 0),
+        (' title="cut off hidden', False, 0, 0), ("", False, 0, 0),
+    ],
+)
+def test_attributes_are_whole_names(attributes, hidden, good, bad):
+    node = html.parse(f"<div{attributes}>text")[1]
+    assert (node.hidden, node.good, node.bad) == (hidden, good, bad)
+
+
+def test_pages_without_article_or_main(spark):
+    body = "<div><h1>Head</h1><p>First line.</p><p>A <a href='/wiki/Hidden_Figures'>link</a> in it.</p></div>"
+    around = "<nav><a href='/'>Menu</a></nav><div class='sidebar'>Side</div>{}<div hidden>Gone</div><footer>End</footer>"
+    pages = {
+        1: f"<html><body class='no-sidebar'>{around.format(body)}</body></html>", 2: around.format(body),
+        3: f"<form><input name='q'>{body}</form>", 4: f"<div class='page has-sidebar'>{body}</div>",
+        5: "<nav>Menu</nav>", 6: "<p></p>", 7: None,
+    }
+    df = spark.createDataFrame([(i, f"u{i}", page) for i, page in pages.items()], "page_id bigint, url string, html string")
+    model = html.train(df)
+    assert model is None
+    found = {r.page_id: r.text for r in html.extract(df, model).collect()}
+    assert found == {i: "Head First line. A link in it." if i < 5 else "" for i in pages}
+    odd = df.withColumn("html", F.concat(F.lit("<article\n id='a'>"), "html", F.lit("</article>")))
+    assert html.train(odd) is not None
+
+
 def test_decoding_keeps_nothing_inside_a_dropped_element():
     nodes = html.parse("<div><p>one two three</p><div><p>four</p></div></div>")
     odds = np.array([0, -1.0, 2.0, -9.0, 0.5])
