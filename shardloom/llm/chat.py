@@ -2,7 +2,7 @@
 
 DataFrame functions only. Turns of both sides are laid over each other by turn number; a
 turn that only one side has ends the common prefix. No turn is numbered by a window and no
-two conversations are joined: a pair costs a partial aggregation and a join on its id.
+two conversations of a pair are joined: it costs a partial aggregation and a join on its id.
 """
 
 from __future__ import annotations
@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shardloom.operators.offsets import exclusive_totals
+
 TRAINED_ROLE = "assistant"
 CLOSING = "<|end|>\n"
 
@@ -108,8 +110,9 @@ def swapped_answers(conversations: DataFrame) -> DataFrame:
     """Preference pairs made of ``conversations (conv_id, turn, role, text)``.
 
     Chosen is the conversation as it is. Rejected is the same with its last turn's text
-    taken from the last turn of the next conversation (by id, the id plus one), which
-    answers something else; without a next one the rejected side just lacks that turn.
+    taken from the last turn of the next conversation (the next id there is, whatever the
+    gap), which answers something else; the last conversation's rejected side just lacks
+    that turn. Ids are integers.
     """
     rows = conversations.select("conv_id", "turn", "role", "text")
     last = (
@@ -118,7 +121,9 @@ def swapped_answers(conversations: DataFrame) -> DataFrame:
         .agg(F.max(F.struct("turn", "role", "text")).alias("last"))
     )
     ends = last.select(F.col("conv_id").alias("_conv"), F.col("last.turn").alias("_last"))
-    donors = last.select((F.col("conv_id") - 1).alias("_at"), F.col("last.text").alias("_text"))
+    follows = _followers(rows.filter(F.col("turn").isNotNull() & F.col("conv_id").isNotNull()))
+    answer = last.select(F.col("conv_id").alias("_donor"), F.col("last.text").alias("_text"))
+    donors = follows.join(answer, F.col("_next") == F.col("_donor"))
     same = F.col("conv_id") == F.col("_conv")
     with_last = rows.join(ends, same)
     chosen = rows.select(F.col("conv_id").alias("pair_id"), F.lit(True).alias("chosen"), "turn", "role", "text")
@@ -130,3 +135,12 @@ def swapped_answers(conversations: DataFrame) -> DataFrame:
         F.col("last.turn").alias("turn"), F.col("last.role").alias("role"), F.col("_text").alias("text"),
     )
     return chosen.unionByName(kept).unionByName(answers)
+
+
+def _followers(rows: DataFrame) -> DataFrame:
+    """``(_at, _next)``: each ``conv_id`` but the last, and the least greater one. Numbered in buckets of ids."""
+    ids = rows.select(F.col("conv_id").cast("bigint").alias("id")).distinct()
+    placed = exclusive_totals(ids.withColumn("one", F.lit(1).cast("bigint")), "id", {"place": "one"})
+    here = placed.select(F.col("id").alias("_at"), F.col("place").alias("_place"))
+    after = placed.select(F.col("id").alias("_next"), (F.col("place") - 1).alias("_before"))
+    return here.join(after, F.col("_place") == F.col("_before")).select("_at", "_next")

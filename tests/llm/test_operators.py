@@ -401,6 +401,19 @@ def test_preferences(spark):
     assert chat.examples(chat.swapped_answers(conversations)).count() == 0
 
 
+def test_the_next_conversation_may_be_ids_away(spark):
+    ids = [-70_000, -5, 3, 4, 10, 70_000, 1 << 40]
+    rows = [(i, t, ("user", "assistant")[t], f"{i} says {t}") for i in ids for t in (0, 1)]
+    rows += [(5, None, "user", "no turn"), (None, 0, "user", "no id"), rows[3]]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(3)
+    found = {r.pair_id: r for r in chat.examples(chat.swapped_answers(df)).collect()}
+    assert set(found) == set(ids)
+    for i, after in zip(ids, [*ids[1:], None], strict=True):
+        said = lambda x: f"<|assistant|>\n{x} says 1<|end|>\n"
+        assert found[i].prompt_turns == 1 and found[i].chosen == said(i)
+        assert found[i].rejected == ("" if after is None else said(after))
+
+
 PAGE = (
     "<!DOCTYPE html><html><head><title>T</title><script>var a='</p>';</script></head><body><nav><ul><li>"
     "<a href='/a'>Menu one</a></li></ul></nav><div class='ad'>Buy now.</div><article><h1>The  head</h1>"
