@@ -18,7 +18,9 @@ from shardloom.llm import (
     quality,
     repeats,
     sharding,
+    sql,
     token_counts,
+    vector_codes,
 )
 
 
@@ -104,6 +106,15 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _read(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    coded, books = vector_codes.compress(vectors)
+    return coded.select(
+        F.col("id").alias("vec_id"), "code", "error", "label_error",
+        F.lit(vector_codes.digest(books)).alias("codebooks_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -111,7 +122,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_suffix_dedup, op2_chat_preferences, op3_decontaminate, op4_token_counts, op5_sharding,
-        op6_html_text, op7_language, op8_near_dedup, op9_mixing, op10_quality_rules, pipeline,
+        op6_html_text, op7_language, op8_near_dedup, op9_mixing, op10_quality_rules,
+        op13_vector_codes, pipeline,
     )
     return {query.__name__: query for query in named}
 
@@ -213,4 +225,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_chat_preferences": _CHAT,
         "op8_near_dedup": _NEAR,
         "op10_quality_rules": _QUALITY,
+        "op13_vector_codes": sql.VECTOR_CODES,
     }
