@@ -15,6 +15,8 @@ from shardloom.llm import (
     language,
     mixing,
     near_dedup,
+    ngram_join,
+    phrases,
     quality,
     repeats,
     sharding,
@@ -106,6 +108,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.best_collocations(_documents(spark, sf_dir).select("doc_id", "text", "lang"))
+
+
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(_documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _read(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     coded, books = vector_codes.compress(vectors)
@@ -123,7 +133,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_suffix_dedup, op2_chat_preferences, op3_decontaminate, op4_token_counts, op5_sharding,
         op6_html_text, op7_language, op8_near_dedup, op9_mixing, op10_quality_rules,
-        op13_vector_codes, pipeline,
+        op11_collocations, op12_ngram_join, op13_vector_codes, pipeline,
     )
     return {query.__name__: query for query in named}
 
@@ -225,5 +235,7 @@ def oracle_sql() -> dict[str, str]:
         "op2_chat_preferences": _CHAT,
         "op8_near_dedup": _NEAR,
         "op10_quality_rules": _QUALITY,
+        "op11_collocations": sql.COLLOCATIONS,
+        "op12_ngram_join": sql.NGRAM_JOIN,
         "op13_vector_codes": sql.VECTOR_CODES,
     }
