@@ -10,6 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,7 +34,13 @@ from shardloom.functions.vocab import (
     top_pieces,
 )
 from shardloom.operators import rows
-from shardloom.operators.checkpoints import checkpoint_log, latest_checkpoint, resume_slices
+from shardloom.operators.checkpoints import (
+    checkpoint_log,
+    latest_checkpoint,
+    read_text_checkpoints,
+    resume_slices,
+    write_text_checkpoints,
+)
 from shardloom.operators.offsets import token_offsets
 from shardloom.operators.packing import (
     progress,
@@ -41,10 +48,11 @@ from shardloom.operators.packing import (
     shard_slices,
     shard_tokens,
 )
-from shardloom.plans.build import OVERWRITE, build, filter_to_jsonl, publish
+from shardloom.plans.build import GROW, OVERWRITE, build, filter_to_jsonl, publish, put_in_place
 from shardloom.session import attach, scratch, written
+from shardloom.sources import journal
 from shardloom.sources.corpus import corpus, corpus_stream, positioned
-from shardloom.sources.objects import list_objects, pending
+from shardloom.sources.objects import list_objects, pending, write_text_objects
 from shardloom.streaming.packer import StreamPacker, pack_stream
 
 try:
@@ -65,6 +73,7 @@ SEEK_ID = 100
 PIECES = r" ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
 TOP = 1000
 PAIRS = 200
+SPECIAL = "<|endoftext|>"
 MANIFEST_COLUMNS = [
     "shard_id", "split", "split_index", "file_name", "n_tokens", "n_docs", "first_doc",
     "last_doc", "docs_consumed", "first_from", "last_to",
@@ -281,6 +290,15 @@ def build_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _build(spark, sf_dir, folder, resume=True)
 
 
+def build_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that died when its val files were in place and none was recorded, started again."""
+    folder = scratch(spark, "build")
+    tokens, plan = _planned(spark, sf_dir)
+    val = plan.filter("split = 'val'")
+    put_in_place(tokens, val, BYTES.codec(), folder, journal.new_job(), LAYOUT)
+    return _build(spark, sf_dir, folder)
+
+
 STREAM_COLUMNS = [
     "shard_id", "split", "split_index", "file_name", "n_tokens", "last_doc", "docs_consumed",
     "token_sum", "checksum",
@@ -297,16 +315,28 @@ def stream_continued(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, sf_dir, flush_each=True)
 
 
-def _streamed(spark: SparkSession, sf_dir: str, flush_each: bool) -> DataFrame:
+def stream_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same again, but the last batch dies when full shards have replaced partial ones."""
+    return _streamed(spark, sf_dir, flush_each=True, dying=True)
+
+
+class _Dying(StreamPacker):
+    """Dies between placing files and recording them."""
+
+    def _publish(self, tokens: DataFrame, shards: DataFrame) -> DataFrame:
+        put_in_place(tokens, shards, self.packed, self.dst, journal.new_job(), self.layout, GROW)
+        raise InterruptedError("files placed, not recorded")
+
+
+def _streamed(spark: SparkSession, sf_dir: str, flush_each: bool, dying: bool = False) -> DataFrame:
     attach(spark)
     docs = spark.read.parquet(_table(sf_dir, "documents")).select("doc_id", "text")
     inbox = scratch(spark, "inbox")
     per_round = max(2, docs.rdd.getNumPartitions())
     edges = docs.agg(F.percentile_approx("doc_id", [1 / 3, 2 / 3]).alias("at")).first().at
     folder = scratch(spark, "stream")
-    packer = StreamPacker(
-        spark, folder, BYTES, "doc_id", "text", "doc_id", True, SHARD_SIZE, LAYOUT
-    )
+    options = (spark, folder, BYTES, "doc_id", "text", "doc_id", True, SHARD_SIZE, LAYOUT)
+    packer = StreamPacker(*options)
     spans = list(zip([None, *edges], [*edges, None], strict=True))
     for low, high in spans:
         part = docs.filter(F.lit(True) if low is None else F.col("doc_id") > low)
@@ -314,6 +344,12 @@ def _streamed(spark: SparkSession, sf_dir: str, flush_each: bool) -> DataFrame:
         part.repartition(per_round).write.mode("append").parquet(inbox)
         if flush_each or high is None:
             stream = corpus_stream(spark, inbox, docs.schema, per_round)
+            if dying and high is None:
+                died = _Dying(*options)
+                try:
+                    pack_stream(stream, died, f"{folder}/query")
+                except StreamingQueryException:
+                    pass
             manifest = pack_stream(stream, packer, f"{folder}/query")
     return manifest.select(*STREAM_COLUMNS)
 
@@ -341,6 +377,38 @@ def checkpoint_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _val_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of a run that stopped after its val shards, an hour between two checkpoints."""
+    hour = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("shard_id") * 3600)
+    return _log(spark, sf_dir).filter(F.col("shard_id") < LAYOUT.val_end).withColumn("updated", hour)
+
+
+def text_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log written as text objects in both forms, read back and parsed."""
+    attach(spark)
+    found = None
+    for form, with_docs in (("shard:docs", True), ("shard", False)):
+        folder = scratch(spark, "objects")
+        write_text_checkpoints(_log(spark, sf_dir), folder, with_docs)
+        back = read_text_checkpoints(spark, folder).select(F.lit(form).alias("form"), "doc_id", "shard_id", "docs_consumed")
+        found = back if found is None else found.union(back)
+    return found
+
+
+def checkpoint_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is written after the latest of the checkpoint objects that a stopped run left."""
+    attach(spark)
+    folder = scratch(spark, "objects")
+    write_text_checkpoints(_val_log(spark, sf_dir), folder)
+    return _build(spark, sf_dir, scratch(spark, "build"), resume_from=folder)
+
+
+def fresh_start(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a folder without a checkpoint: everything."""
+    attach(spark)
+    return _build(spark, sf_dir, scratch(spark, "build"), resume_from=scratch(spark, "objects"))
+
+
 def latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     stamped = _log(spark, sf_dir).withColumn("updated", F.timestamp_seconds("docs_consumed"))
     return latest_checkpoint(stamped)
@@ -476,7 +544,66 @@ def map_square_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def object_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return list_objects(spark, sf_dir, prefix="doc", suffix=".parquet")
+    """The checkpoint objects among others, by prefix and suffix."""
+    attach(spark)
+    folder = scratch(spark, "objects")
+    write_text_checkpoints(_log(spark, sf_dir), folder)
+    others = _log(spark, sf_dir).select(
+        F.explode(F.array(
+            F.format_string("checkpoints/%s.json", "doc_id"), F.format_string("logs/%s.txt", "doc_id")
+        )).alias("name"),
+        F.lit("other").alias("value"),
+    )
+    write_text_objects(others.distinct(), folder)
+    return list_objects(spark, folder, prefix="checkpoints/", suffix=".txt").select("name", "length")
+
+
+DUMPS = 4
+
+
+def _dumps(spark: SparkSession, sf_dir: str) -> str:
+    """The documents in a folder for each of several dumps."""
+    root = scratch(spark, "dumps")
+    docs = spark.read.parquet(_table(sf_dir, "documents"))
+    for dump in range(DUMPS):
+        part = docs.filter(F.pmod(F.col("doc_id"), F.lit(DUMPS)) == dump)
+        part.write.parquet(f"{root}/data/CC-MAIN-{dump}")
+    return root
+
+
+def one_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One dump's folder; the others are not even listed."""
+    attach(spark)
+    docs = corpus(spark, f"{_dumps(spark, sf_dir)}/data/CC-MAIN-2", "doc_id", "text", "doc_id")
+    return docs.select(F.col("id").alias("doc_id"), F.md5("text").alias("md5"))
+
+
+def some_dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of the dumps that a glob names, in source order."""
+    attach(spark)
+    path = f"{_dumps(spark, sf_dir)}/data/CC-MAIN-[13]/*.parquet"
+    offsets = token_offsets(BYTES.tokenized(corpus(spark, path, "doc_id", "text")).select("pos", "id", "n"))
+    return shard_manifest(offsets, SHARD_SIZE, LAYOUT).select(*MANIFEST_COLUMNS)
+
+
+def manifest_language_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by language, a column of four values, and id."""
+    docs = corpus(spark, _table(sf_dir, "documents"), "doc_id", "text", ["lang", "doc_id"])
+    offsets = token_offsets(BYTES.tokenized(docs).select("pos", "id", "n"))
+    return shard_manifest(offsets, SHARD_SIZE, LAYOUT).select(*MANIFEST_COLUMNS)
+
+
+def special_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the end-of-text mark written in them: ordinary bytes, and one real mark."""
+    marked = F.concat_ws(SPECIAL, F.substring("text", 1, 20), F.lit(""), "text")
+    docs = _docs(spark, sf_dir).withColumn("text", marked)
+    ids = check_ids(F.col("tokens"))
+    return tokenize(docs, BYTES).select(
+        F.col("id").alias("doc_id"),
+        F.size(ids).cast("bigint").alias("n_tokens"),
+        F.size(F.filter(ids, lambda x: x == BYTES.eot_id)).cast("bigint").alias("n_marks"),
+        F.aggregate(ids, F.lit(0).cast("bigint"), lambda acc, x: acc + x).alias("token_sum"),
+    )
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -505,8 +632,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "publish_overwrite": publish_overwrite,
         "build_manifest": build_manifest,
         "build_resumed": build_resumed,
+        "build_recovered": build_recovered,
         "stream_manifest": stream_manifest,
         "stream_continued": stream_continued,
+        "stream_recovered": stream_recovered,
         "checkpoint_log": checkpoints,
         "checkpoint_objects": checkpoint_objects,
         "latest_checkpoint": latest,
@@ -529,6 +658,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "map_square": map_square,
         "map_square_batches": map_square_batches,
         "object_listing": object_listing,
+        "text_checkpoints": text_checkpoints,
+        "checkpoint_resume": checkpoint_resume,
+        "fresh_start": fresh_start,
+        "one_dump": one_dump,
+        "some_dumps": some_dumps,
+        "language_order_manifest": manifest_language_order,
+        "special_text": special_text,
         **(llm_queries.queries() if llm_queries else {}),
     }
 
@@ -624,6 +760,9 @@ def oracle_sql() -> dict[str, str]:
     built = _named_checksums_sql("shard_id, n_tokens, token_sum, checksum")
     log = f"""{_manifest_sql()},
     l AS (SELECT shard_id, last_doc AS doc_id, docs_consumed FROM m WHERE n_tokens = {_S})"""
+    objects = f"""{log},
+    j AS (SELECT doc_id, max(shard_id) AS shard_id, arg_max(docs_consumed, shard_id) AS docs_consumed
+          FROM l GROUP BY doc_id)"""
     resumed = f"{_corpus_sql()} SELECT {slice_columns} FROM s WHERE shard_id >= {LAYOUT.val_end}"
     progress_sql = f"""{_manifest_sql()}
     SELECT max(docs_consumed) AS documents, CAST(sum(n_tokens) AS BIGINT) AS tokens,
@@ -694,9 +833,34 @@ def oracle_sql() -> dict[str, str]:
         "publish_overwrite": facts,
         "build_manifest": built,
         "build_resumed": built,
+        "build_recovered": built,
         "stream_manifest": streamed,
         "stream_continued": streamed,
+        "stream_recovered": streamed,
         "checkpoint_log": f"{log} SELECT * FROM l",
+        "object_listing": f"""{objects}
+            SELECT 'checkpoints/' || doc_id || '.txt' AS name,
+                   CAST(length(shard_id || ':' || docs_consumed) AS BIGINT) AS length FROM j""",
+        "text_checkpoints": f"""{objects}
+            SELECT 'shard:docs' AS form, CAST(doc_id AS VARCHAR) AS doc_id, shard_id, docs_consumed FROM j
+            UNION ALL SELECT 'shard', CAST(doc_id AS VARCHAR), shard_id, NULL FROM j""",
+        "checkpoint_resume": f"{built} WHERE shard_id >= {LAYOUT.val_end}",
+        "fresh_start": built,
+        "one_dump": f"SELECT doc_id, md5(text) AS md5 FROM documents WHERE doc_id % {DUMPS} = 2",
+        "some_dumps": f"""{_manifest_sql(_corpus_sql(
+            f"(SELECT * FROM documents WHERE doc_id % {DUMPS} IN (1, 3))",
+            order=f"doc_id % {DUMPS}, doc_id"))} SELECT {columns} FROM m""",
+        "language_order_manifest": f"""{_manifest_sql(_corpus_sql(order="lang, doc_id"))}
+            SELECT {columns} FROM m""",
+        "special_text": f"""
+            WITH t AS (
+              SELECT doc_id, list_concat([256::BIGINT], list_transform(
+                       regexp_extract_all(hex(encode(
+                         substring(text, 1, 20) || '{SPECIAL}{SPECIAL}' || text)), '..'),
+                       lambda x: CAST(concat('0x', x) AS BIGINT))) AS ids FROM documents)
+            SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_tokens,
+                   CAST(len(list_filter(ids, lambda x: x = 256)) AS BIGINT) AS n_marks,
+                   CAST(list_sum(ids) AS BIGINT) AS token_sum FROM t""",
         "checkpoint_objects": f"""{log}
             SELECT 'checkpoints/' || doc_id || '.txt' AS name,
                    shard_id || ':' || docs_consumed AS value, CAST(doc_id AS VARCHAR) AS parsed_id,

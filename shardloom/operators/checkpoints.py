@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from shardloom.functions.naming import (
     CHECKPOINT_SUFFIX,
     checkpoint_id,
+    checkpoint_name,
+    checkpoint_value,
     parse_checkpoint,
 )
 from shardloom.operators.packing import SHARD_SIZE, shard_slices
-from shardloom.sources.objects import read_text_objects
+from shardloom.sources.objects import read_text_objects, write_text_objects
 from shardloom.sources.paths import exists
 
 CHECKPOINT_SCHEMA = "shard_id bigint, doc_id string, docs_consumed bigint, updated timestamp"
@@ -53,6 +55,23 @@ def read_checkpoints(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CHECKPOINT_SCHEMA).parquet(path)
 
 
+def write_text_checkpoints(log: DataFrame, path: str, with_docs: bool = True) -> int:
+    """Write a log as objects ``checkpoints/<doc id>.txt`` holding ``shard:docs``, or ``shard``.
+
+    A document that reaches several cuts has one object, for the last of them. A column
+    ``updated`` of the log becomes the objects' time where the store allows that.
+    """
+    last = F.max_by(F.struct("*"), "shard_id").alias("last")
+    rows = log.groupBy("doc_id").agg(last).select("last.*")
+    value = checkpoint_value(F.col("shard_id"), F.col("docs_consumed"))
+    objects = rows.select(
+        checkpoint_name(F.col("doc_id")).alias("name"),
+        (value if with_docs else F.col("shard_id").cast("string")).alias("value"),
+        *(["updated"] if "updated" in log.columns else []),
+    )
+    return write_text_objects(objects, path)
+
+
 def read_text_checkpoints(spark: SparkSession, path: str) -> DataFrame:
     """Checkpoints kept as objects ``<doc id>.txt`` holding ``shard:docs`` or ``shard``."""
     shard, docs = parse_checkpoint(F.col("value"))

@@ -1,21 +1,30 @@
-"""Global running totals in key order without a global sort.
+"""Global running totals in key order without a shuffle of rows that are in order already.
 
-Keys are unique BIGINTs, so the rows that share ``key >> 16`` are at most 65,536 whatever
-the data looks like. A window inside each such bucket gives local totals; the buckets' own
-totals, thousands of times fewer, are accumulated the same way and joined back.
+One pass over narrow rows adds up running totals within runs: stretches of a task's rows whose
+keys rise, such as the rows of a file block. Where runs do not overlap, a run starts from the
+totals of all runs before it, a row for each. Rows that come in another order are sorted by
+one range-partitioned shuffle first, so a run is then a task's whole range, whatever the keys
+look like.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shardloom.session import written
+from shardloom.session import attach, written
 
-BUCKET_BITS = 16
+# Runs whose totals are accumulated by one task and broadcast, 64 bytes or so each; rows in
+# more runs than that are not in order and are sorted.
+MAX_RUNS = 1 << 20
 
-# Buckets accumulated by one sort; more of them are bucketed again instead.
-MAX_ROOT_BUCKETS = 1 << 20
+# Fixed value: low bits of a run's number that count a task's runs.
+_RUN_BITS = 40
 
 
 def token_offsets(lengths: DataFrame) -> DataFrame:
@@ -35,60 +44,78 @@ def token_offsets(lengths: DataFrame) -> DataFrame:
 def exclusive_totals(df: DataFrame, key: str, totals: dict[str, str]) -> DataFrame:
     """Add, for each ``{out: column}``, the sum of ``column`` over all rows with a smaller key.
 
-    The columns summed must not be negative; a repeated key fails the run.
+    The columns summed are BIGINT and not negative. Rows are written once, here and now, with
+    their local totals; a null or repeated key fails in doing so, and nothing in the plan that
+    is returned can fail on a row, whatever filters are put on it.
     """
-    # Ordering by the carried columns too changes nothing, as keys are unique, but lets the
-    # two uses of ``local`` below share one scan and one shuffle: both need every column.
-    carried = [name for name in df.columns if name not in (key, *totals.values())]
-    inside = Window.partitionBy("_bucket").orderBy(key, *carried)
-    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    absent = F.raise_error(F.lit(f"row without {key}"))
-    known = F.when(F.col(key).isNull(), absent).otherwise(F.col(key))
-    local = (
-        df.withColumn("_bucket", F.shiftright(known, BUCKET_BITS))
-        .filter(F.col("_bucket").isNotNull())
-        .withColumns(
-            {"_prior": F.lag(key).over(inside)}
-            | {f"_{out}": F.sum(column).over(upto) for out, column in totals.items()}
-        )
+    attach(df.sparkSession)
+    local, runs = _in_runs(df, key, totals)
+    if runs.count() > MAX_RUNS or not _apart(runs):
+        ranged = df.repartitionByRange(key).sortWithinPartitions(key)
+        local, runs = _in_runs(ranged, key, totals)
+        if not _apart(runs):
+            raise ValueError(f"repeated {key}: {_repeated(df, key)}")
+    before = Window.orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)
+    bases = runs.select(
+        "_run", *[F.coalesce(F.sum(f"_all_{out}").over(before), F.lit(0)).alias(f"_base_{out}") for out in totals]
     )
-    repeated = F.raise_error(F.concat(F.lit(f"repeated {key}: "), F.col(key).cast("string")))
-
-    def exclusive(inclusive: Column, column: str) -> Column:
-        value = inclusive - F.col(column)
-        return F.when(F.col("_prior") == F.col(key), repeated).otherwise(value)
-
-    low, high, about = _bucket_span(df, key)
-    if low == high:  # at most one bucket: local totals are the totals
-        return local.select(
-            *df.columns,
-            *[exclusive(F.col(f"_{out}"), column).alias(out) for out, column in totals.items()],
-        )
-    # The last local total of a bucket is its greatest: no row is aggregated twice.
-    buckets = local.groupBy("_bucket").agg(*[F.max(f"_{out}").alias(out) for out in totals])
-    if about <= MAX_ROOT_BUCKETS:
-        before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-        bases = buckets.select(
-            "_bucket",
-            *[F.coalesce(F.sum(out).over(before), F.lit(0)).alias(f"_base_{out}") for out in totals],
-        )
-    else:
-        bases = exclusive_totals(
-            written(buckets.withColumnRenamed("_bucket", "_key"), "buckets"),
-            "_key",
-            {f"_base_{out}": out for out in totals},
-        ).select(F.col("_key").alias("_bucket"), *[f"_base_{out}" for out in totals])
-    # Both sides are clustered by bucket already; Spark broadcasts the bases if they are small.
-    return local.join(bases, "_bucket").select(
-        *df.columns,
-        *[
-            exclusive(F.col(f"_base_{out}") + F.col(f"_{out}"), column).alias(out)
-            for out, column in totals.items()
-        ],
+    return local.join(F.broadcast(bases), "_run").select(
+        *df.columns, *[(F.col(f"_base_{out}") + F.col(out)).alias(out) for out in totals]
     )
 
 
-def _bucket_span(df: DataFrame, key: str) -> tuple[int | None, int | None, int]:
-    """First and last bucket, and about how many there are; reads the key column only."""
-    bucket = F.shiftright(key, BUCKET_BITS)
-    return tuple(df.agg(F.min(bucket), F.max(bucket), F.approx_count_distinct(bucket)).first())
+def _in_runs(df: DataFrame, key: str, totals: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """Rows with totals inside their run, and the runs with their span and whole totals."""
+    added = {"_run": "bigint", **dict.fromkeys(totals, "bigint")}
+    schema = ", ".join(
+        [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema] + [f"`{c}` {t}" for c, t in added.items()]
+    )
+    local = written(df.mapInArrow(_running(key, totals), schema), "runs")
+    whole = [F.max(F.col(out) + F.col(column)).alias(f"_all_{out}") for out, column in totals.items()]
+    runs = local.groupBy("_run").agg(F.min(key).alias("_first"), F.max(key).alias("_last"), *whole)
+    return local, written(runs, "run_totals")
+
+
+def _apart(runs: DataFrame) -> bool:
+    """Whether no run reaches into another."""
+    before = Window.orderBy("_first", "_last").rowsBetween(Window.unboundedPreceding, -1)
+    reaching = runs.withColumn("_upto", F.max("_last").over(before)).filter("_first <= _upto")
+    return reaching.isEmpty()
+
+
+def _repeated(df: DataFrame, key: str):
+    return df.groupBy(key).count().filter("count > 1").select(key).first()[0]
+
+
+def _running(key: str, totals: dict[str, str]):
+    """Numbers each run, and adds up what comes before a row in its run."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << _RUN_BITS
+        last: int | None = None
+        carried = dict.fromkeys(totals, 0)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if batch.column(key).null_count:
+                raise ValueError(f"row without {key}")
+            keys = batch.column(key).to_numpy()
+            starts = np.empty(len(keys), bool)
+            starts[0] = last is not None and int(keys[0]) <= last
+            starts[1:] = keys[1:] <= keys[:-1]
+            opened = np.cumsum(starts)
+            begins = np.concatenate([[0], np.flatnonzero(starts)])  # of what is added to which base
+            columns = [pa.array(number + opened)]
+            for out, column in totals.items():
+                values = batch.column(column).fill_null(0).to_numpy()
+                before = np.cumsum(values) - values
+                # The first stretch goes on from the batch before, each other one from nothing.
+                base = before[begins] - np.concatenate([[carried[out]], np.zeros(len(begins) - 1, np.int64)])
+                inside = before - base[opened]
+                carried[out] = int(inside[-1] + values[-1])
+                columns.append(pa.array(inside))
+            number, last = number + int(opened[-1]), int(keys[-1])
+            names = [*batch.schema.names, "_run", *totals]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names)
+
+    return run

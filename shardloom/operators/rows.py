@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from shardloom.operators.offsets import exclusive_totals
 
-# Up to here the first rows are found by a top-n; beyond, by counting.
-MAX_TOP = 100_000
+# Buckets that a step of a search for the n-th key counts, at most one more.
+BUCKET_BITS = 16
 
 
 def filter_contains(df: DataFrame, needle: str, text_col: str = "text") -> DataFrame:
@@ -31,18 +31,24 @@ def numbered(df: DataFrame, pos: str = "pos") -> DataFrame:
 def nth_position(df: DataFrame, n: int, pos: str = "pos") -> int | None:
     """The position of row ``n``, counted from 0; None when there are not that many rows.
 
-    Reads the key column only: the smallest keys for a small ``n``, running counts for a
-    large one, so that no task holds more than ``MAX_TOP`` keys.
+    Counts keys by their leading bits, goes on inside the bucket that holds row ``n``, and so
+    on: the key column alone is read, a few times at most, later steps read their span of it,
+    and no task and not the driver holds more than ``2^BUCKET_BITS`` counts.
     """
-    keys = df.select(pos)
-    if n < MAX_TOP:
-        edge = keys.orderBy(pos).limit(n + 1).agg(F.max(pos).alias("at"), F.count("*").alias("n"))
-        found = edge.filter(F.col("n") > n).first()
-    else:
-        found = numbered(keys, pos).filter(F.col("ordinal") == n).select(
-            F.col(pos).alias("at")
-        ).first()
-    return None if found is None else found.at
+    keys = df.select(F.col(pos).cast("bigint").alias("k")).filter(F.col("k").isNotNull())
+    low, high, total = keys.agg(F.min("k"), F.max("k"), F.count("k")).first()
+    if n >= total:
+        return None
+    while low < high:
+        shift = max(0, (high - low).bit_length() - BUCKET_BITS)
+        inside = keys.filter(F.col("k").between(low, high))
+        counts = inside.groupBy(F.shiftright("k", shift).alias("bucket")).count().orderBy("bucket").collect()
+        for bucket, count in counts:
+            if n < count:
+                break
+            n -= count
+        low, high = max(low, bucket << shift), min(high, ((bucket + 1) << shift) - 1)
+    return low
 
 
 def skip(df: DataFrame, n: int, pos: str = "pos") -> DataFrame:

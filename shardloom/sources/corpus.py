@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, ShortType
@@ -19,12 +21,15 @@ ARRIVAL_COLUMNS = ("source_time", "source_path", "source_row")
 # A file's rows take the low bits of the position, the file's rank the high ones.
 ROW_BITS = 40
 
+# Fingerprints of paths tried, until one tells all apart.
+SEEDS = 8
+
 # Fixed value: how many low bits of monotonically_increasing_id count rows.
 PARTITION_ROW_BITS = 33
 
-# File lists up to this many rows are broadcast (about 150 bytes each); longer ones are
-# joined by whatever strategy Spark picks from their size.
-MAX_BROADCAST_FILES = 500_000
+# So many files have a rank: what is left of a position's bits. Their fingerprints and ranks are
+# broadcast, 16 bytes each, 134 MB at most.
+MAX_FILES = 1 << (63 - ROW_BITS)
 
 
 def corpus(
@@ -69,7 +74,7 @@ def positioned(
     * one integral column: it is the position itself, so filters on it reach the scan;
     * ``"source"``: ``rank of the file << 40 | row in the file``, no sort and no shuffle;
     * anything else: the row's place in the sorted corpus, by one range-partitioned sort that
-      is written once; equal keys are ordered by the kept columns, so runs agree;
+      is written once; equal keys are ordered by the kept columns, texts last, so runs agree;
     * ``None``: the order rows happen to arrive in, written once for the same reason.
 
     ``path`` is where rows are written, the scratch folder by default.
@@ -94,8 +99,11 @@ def _sorted_positions(
 ) -> DataFrame:
     keys = [f"_key{i}" for i in range(len(names))]
     keyed = df.select(*[F.col(n).alias(k) for n, k in zip(names, keys, strict=True)], *keep)
-    ranged = keyed.repartitionByRange(*keys).sortWithinPartitions(*keyed.columns).drop(*keys)
-    numbered = ranged.select(F.monotonically_increasing_id().alias("_at"), *ranged.columns)
+    # The splitters are sampled over all sort columns and what else tells rows apart, so that a
+    # frequent key, or one key for all, is cut as finely as any other. Texts stay out of them.
+    apart = [name for name in keyed.columns if name not in (*keys, "text")]
+    ranged = keyed.repartitionByRange(*keys, *apart).sortWithinPartitions(*keys, *apart, *_texts(keyed))
+    numbered = ranged.drop(*keys).select(F.monotonically_increasing_id().alias("_at"), "*")
     ordered = written(numbered, "sorted", path)
     # The id is a partition number and a row number; partitions follow each other in key
     # order, so their sizes, one row each, turn it into the place in the whole corpus.
@@ -104,35 +112,61 @@ def _sorted_positions(
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base"))
     row = F.col("_at").bitwiseAND((1 << PARTITION_ROW_BITS) - 1)
+    # A row for each partition of the sort.
     return ordered.join(F.broadcast(bases), part == F.col("_part")).select(
-        (F.col("_base") + row).alias("pos"), *ranged.columns
+        (F.col("_base") + row).alias("pos"), *[name for name in ordered.columns if name != "_at"]
     )
 
 
+def _texts(df: DataFrame) -> list[str]:
+    return [name for name in df.columns if name == "text"]
+
+
 def _source_positions(
     df: DataFrame, keep: Sequence[Column | str], span: tuple[int, int] | None = None
 ) -> DataFrame:
-    ranks = file_ranks(df)
-    if span is not None:
-        inside = F.col("_rank").between(span[0] >> ROW_BITS, span[1] >> ROW_BITS)
-        edges = ranks.filter(inside).agg(F.min("_path"), F.max("_path")).first()
-        df = df.filter(F.col("_metadata.file_path").between(*edges))
-    if len(df.inputFiles()) <= MAX_BROADCAST_FILES:
-        ranks = F.broadcast(ranks)
+    paths = ranked_files(df)
+    if span is not None and paths:
+        low, high = (min(max(pos >> ROW_BITS, 0), len(paths) - 1) for pos in span)
+        df = df.filter(_listed("_metadata.file_path").between(paths[low], paths[high]))
+    ranks, seed = file_ranks(df.sparkSession, paths)
     placed = df.select(
-        F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_row"), *keep
+        F.xxhash64(_listed("_metadata.file_path"), F.lit(seed)).alias("_file"),
+        F.col("_metadata.row_index").alias("_row"), *keep,
     )
-    kept = [name for name in placed.columns if name not in ("_path", "_row")]
-    pos = F.shiftleft("_rank", ROW_BITS) + F.col("_row")
-    return placed.join(ranks, "_path").select(pos.alias("pos"), *kept)
+    kept = [name for name in placed.columns if name not in ("_file", "_row")]
+    unlisted = F.raise_error(F.lit("a row of a file that was not listed")).cast("bigint")
+    pos = F.shiftleft(F.coalesce("_rank", unlisted), ROW_BITS) + F.col("_row")
+    return placed.join(F.broadcast(ranks), "_file", "left").select(pos.alias("pos"), *kept)
+
 
+def _listed(path: str) -> Column:
+    """A row's file as the listing names it: local ones with three slashes, not one."""
+    return F.regexp_replace(path, "^file:/+", "file:///")
 
-def file_ranks(df: DataFrame) -> DataFrame:
-    """``(_path, _rank)``: one row per input file, numbered in path order."""
-    paths = df.select(F.col("_metadata.file_path").alias("_path")).distinct()
-    return paths.select(
-        "_path", (F.row_number().over(Window.orderBy("_path")) - 1).cast("bigint").alias("_rank")
+
+def ranked_files(df: DataFrame) -> list[str]:
+    """The input's files in path order, from its listing; no row is read."""
+    listed = {re.sub("^file:/+", "file:///", path) for path in df.inputFiles()}
+    paths = sorted(listed, key=lambda path: path.encode())
+    if len(paths) >= MAX_FILES:
+        raise ValueError(f"{len(paths)} files, but positions hold the ranks of {MAX_FILES - 1} only: merge files")
+    return paths
+
+
+def file_ranks(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame, int]:
+    """``(_file, _rank)``: a fingerprint of each path and its place, and the fingerprint's seed.
+
+    The seed is one under which no two paths agree, nearly always the first.
+    """
+    listed = spark.createDataFrame(
+        pa.table({"_path": pa.array(paths, pa.string()), "_rank": pa.array(range(len(paths)), pa.int64())})
     )
+    for seed in range(SEEDS):
+        ranks = listed.select(F.xxhash64("_path", F.lit(seed)).alias("_file"), "_rank")
+        if len(paths) < 2 or ranks.agg(F.count_distinct("_file")).first()[0] == len(paths):
+            return ranks, seed
+    raise ValueError("paths could not be told apart by fingerprints")
 
 
 def corpus_stream(

@@ -2,8 +2,9 @@
 
 Writing takes rows ``(shard_id, file_name, n_tokens, payload)``, each shard's rows together
 and in order inside one partition. ``payload`` holds big-endian unsigned integers of
-``width`` bytes (option, 2 or 4). Options: ``on_exists`` = ``skip`` (first writer wins) or
-``overwrite``; ``job`` names the staging folder and the report.
+``width`` bytes (option, 2 or 4). Files are staged below a folder named by the option ``job``;
+the commit lists them, with their sums, in the job's entry of the journal and moves nothing.
+``sources.journal`` puts them in place.
 
 Reading yields ``(file_name, shard_offset, tokens)`` in chunks of ``chunk_tokens``.
 """
@@ -14,8 +15,7 @@ import io
 import json
 import uuid
 from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -33,18 +33,28 @@ from shardloom.functions.arrays import ShardDigest, runs, token_run
 from shardloom.sources.paths import resolve
 
 STAGING = "_staging"
-REPORTS = "reports"
+REPORTS, JOURNAL = "reports", "journal"
+STAGED_SCHEMA = (
+    "file_name string, staged string, shard_id bigint, n_tokens bigint, token_sum bigint, checksum bigint"
+)
 REPORT_SCHEMA = (
     "file_name string, shard_id bigint, n_tokens bigint, token_sum bigint, checksum bigint, "
     "status string, error string"
 )
-COMMIT_THREADS = 32
 
 
 def report_path(destination: str, job: str) -> str:
     return f"{destination.rstrip('/')}/{REPORTS}/{job}.json"
 
 
+def journal_path(destination: str, job: str) -> str:
+    return f"{destination.rstrip('/')}/{JOURNAL}/{job}".rstrip("/")
+
+
+def file_length(n_tokens: int) -> int:
+    return n_tokens * 4 + len(npy_header(n_tokens))
+
+
 class TokenShardSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -61,12 +71,10 @@ class TokenShardSource(DataSource):
         )
 
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceArrowWriter:
-        return TokenShardWriter(
-            self.options["path"],
-            self.options.get("job") or uuid.uuid4().hex,
-            int(self.options.get("width", 4)),
-            "overwrite" if overwrite else self.options.get("on_exists", "skip"),
-        )
+        job = self.options.get("job")
+        if not job:
+            raise ValueError("writing needs the option job; plans.build.publish gives it and places the files")
+        return TokenShardWriter(self.options["path"], job, int(self.options.get("width", 4)))
 
 
 @dataclass
@@ -85,19 +93,15 @@ class StagedFiles(WriterCommitMessage):
 
 
 class TokenShardWriter(DataSourceArrowWriter):
-    """``on_exists``: ``overwrite``, ``skip`` (a file of another length there is a failure), or
-    ``grow`` (a shorter file there, a shard that was flushed before it was full, is replaced).
-    """
-
-    def __init__(self, path: str, job: str, width: int, on_exists: str) -> None:
-        self.path, self.job, self.width, self.on_exists = path, job, width, on_exists
+    def __init__(self, path: str, job: str, width: int) -> None:
+        self.path, self.job, self.width = path, job, width
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> StagedFiles:
         fs, root = resolve(self.path)
         # Each attempt stages under its own name, so a lost or duplicate attempt can
         # never touch the files of the one that is committed.
-        folder = f"{root}/{STAGING}/{self.job}/{uuid.uuid4().hex}"
-        fs.create_dir(folder, recursive=True)
+        folder = f"{STAGING}/{self.job}/{uuid.uuid4().hex}"
+        fs.create_dir(f"{root}/{folder}", recursive=True)
         message = StagedFiles()
         current: _OpenShard | None = None
         try:
@@ -110,6 +114,7 @@ class TokenShardWriter(DataSourceArrowWriter):
                             message.files.append(current.close())
                         current = _OpenShard(
                             fs,
+                            root,
                             folder,
                             shard_id,
                             batch.column("file_name")[lo].as_py(),
@@ -129,47 +134,14 @@ class TokenShardWriter(DataSourceArrowWriter):
         names = {f.file_name for f in files}
         if len(names) != len(files):
             raise ValueError("a shard was written by two partitions; group rows by shard_id")
-        fs, root = resolve(self.path)
-        with ThreadPoolExecutor(COMMIT_THREADS) as pool:
-            report = list(pool.map(lambda f: self._publish(fs, root, f), files))
-        folder, _, name = report_path(root, self.job).rpartition("/")
+        fs, folder = resolve(journal_path(self.path, self.job))
         fs.create_dir(folder, recursive=True)
-        with fs.open_output_stream(f"{folder}/{name}") as out:
-            for row in report:
-                out.write((json.dumps(row) + "\n").encode())
-        if all(row["status"] != "failed" for row in report):
-            self.abort(messages)
-
-    def _publish(self, fs: pafs.FileSystem, root: str, file: StagedFile) -> dict:
-        row = {
-            "file_name": file.file_name,
-            "shard_id": file.shard_id,
-            "n_tokens": file.n_tokens,
-            "token_sum": file.token_sum,
-            "checksum": file.checksum,
-            "status": "published",
-            "error": None,
-        }
-        target = f"{root}/{file.file_name}"
-        try:
-            there = fs.get_file_info(target)
-            length = file.n_tokens * 4 + len(npy_header(file.n_tokens))
-            if there.type == pafs.FileType.NotFound or self.on_exists == "overwrite" or (
-                self.on_exists == "grow" and there.type == pafs.FileType.File and there.size < length
-            ):
-                fs.create_dir(target.rpartition("/")[0], recursive=True)
-                fs.move(file.staged, target)
-            elif there.size == length:
-                row["status"] = "skipped"
-            else:
-                row["status"] = "failed"
-                row["error"] = f"a file of {there.size} bytes is in the place of one of {length}"
-        except Exception as error:  # one file's trouble must not hide the others' outcome
-            row["status"], row["error"] = "failed", str(error)
-        return row
+        with fs.open_output_stream(f"{folder}/staged.json") as out:
+            for file in files:
+                out.write((json.dumps(asdict(file)) + "\n").encode())
 
     def abort(self, messages: list[StagedFiles | None]) -> None:
-        """Drop this job's staging folder; after a commit only superseded files are left."""
+        """Drop this job's staging folder."""
         fs, root = resolve(self.path)
         staging = f"{root}/{STAGING}/{self.job}"
         if fs.get_file_info(staging).type != pafs.FileType.NotFound:
@@ -179,12 +151,14 @@ class TokenShardWriter(DataSourceArrowWriter):
 class _OpenShard:
     """A shard being staged: header first, then token runs as they arrive."""
 
-    def __init__(self, fs, folder: str, shard_id: int, file_name: str, n_tokens: int) -> None:
+    def __init__(
+        self, fs, root: str, folder: str, shard_id: int, file_name: str, n_tokens: int
+    ) -> None:
         self.shard_id, self.n_tokens = shard_id, n_tokens
         self.file_name = file_name if file_name.endswith(".npy") else file_name + ".npy"
         self.staged = f"{folder}/{shard_id}.npy"
         self.digest = ShardDigest()
-        self.stream = fs.open_output_stream(self.staged)
+        self.stream = fs.open_output_stream(f"{root}/{self.staged}")
         self.stream.write(npy_header(n_tokens))
 
     def append(self, tokens: np.ndarray) -> None:
@@ -259,28 +233,36 @@ class TokenShardReader(DataSourceReader):
 
     def _read_range(self, chosen: FileRange) -> Iterator[pa.RecordBatch]:
         fs, root = resolve(self.path)
-        with fs.open_input_file(f"{root}/{chosen.file_name}") as stream:
-            version = np.lib.format.read_magic(stream)
-            if version != (1, 0):
-                raise ValueError(f"{chosen.file_name}: unsupported .npy version {version}")
-            shape, _, dtype = np.lib.format.read_array_header_1_0(stream)
-            if len(shape) != 1 or dtype != np.dtype("<u4"):
-                raise ValueError(f"{chosen.file_name}: not a 1-D uint32 shard")
-            first = shape[0] * chosen.part // chosen.parts
-            last = shape[0] * (chosen.part + 1) // chosen.parts
-            stream.seek(stream.tell() + 4 * first)
-            for offset in range(first, last, self.chunk_tokens):
-                count = min(self.chunk_tokens, last - offset)
-                values = np.frombuffer(stream.read(4 * count), dtype="<u4")
-                if len(values) != count:
-                    raise ValueError(f"{chosen.file_name}: shorter than its header says")
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([chosen.file_name]),
-                        pa.array([offset], pa.int64()),
-                        pa.ListArray.from_arrays(
-                            pa.array([0, count], pa.int32()), pa.array(values.astype(np.int64))
-                        ),
-                    ],
-                    names=["file_name", "shard_offset", "tokens"],
-                )
+        path = f"{root}/{chosen.file_name}"
+        for offset, values in read_tokens(fs, path, self.chunk_tokens, chosen.part, chosen.parts):
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([chosen.file_name]),
+                    pa.array([offset], pa.int64()),
+                    pa.ListArray.from_arrays(
+                        pa.array([0, len(values)], pa.int32()), pa.array(values.astype(np.int64))
+                    ),
+                ],
+                names=["file_name", "shard_offset", "tokens"],
+            )
+
+
+def read_tokens(
+    fs: pafs.FileSystem, path: str, chunk_tokens: int = 1 << 16, part: int = 0, parts: int = 1
+) -> Iterator[tuple[int, np.ndarray]]:
+    """``(offset, tokens)`` of part ``part`` of ``parts`` of a shard file, in chunks."""
+    with fs.open_input_file(path) as stream:
+        version = np.lib.format.read_magic(stream)
+        if version != (1, 0):
+            raise ValueError(f"{path}: unsupported .npy version {version}")
+        shape, _, dtype = np.lib.format.read_array_header_1_0(stream)
+        if len(shape) != 1 or dtype != np.dtype("<u4"):
+            raise ValueError(f"{path}: not a 1-D uint32 shard")
+        first, last = shape[0] * part // parts, shape[0] * (part + 1) // parts
+        stream.seek(stream.tell() + 4 * first)
+        for offset in range(first, last, chunk_tokens):
+            count = min(chunk_tokens, last - offset)
+            values = np.frombuffer(stream.read(4 * count), dtype="<u4")
+            if len(values) != count:
+                raise ValueError(f"{path}: shorter than its header says")
+            yield offset, values

@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+from collections.abc import Iterator, Sequence
 from urllib.parse import urlparse
 
+import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardloom.sources.paths import exists, resolve
 
+# Below it objects are written before they get their names; Spark's readers pass it over.
+HIDDEN = "_writing"
+
 _EMPTY_LISTING = "name string, updated timestamp, length bigint"
 
 
@@ -44,9 +52,43 @@ def read_text_objects(spark: SparkSession, path: str, suffix: str = ".txt") -> D
     )
 
 
-def pending(plan: DataFrame, existing: DataFrame, key: str = "file_name") -> DataFrame:
+def write_text_objects(objects: DataFrame, path: str) -> int:
+    """Write rows ``(name, value)`` as small UTF-8 objects below ``path``; returns how many.
+
+    Tasks write them, each under a hidden name that is then changed, so no reader sees half an
+    object and a task that runs again only writes the same once more. A column ``updated``
+    becomes the object's time where the store lets a writer set it. Names must be unique.
+    """
+    stamped = "updated" in objects.columns
+    rows = objects.select("name", "value", *(["updated"] if stamped else []))
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = resolve(path)
+        for batch in batches:
+            for row in batch.to_pylist():
+                target, hidden = f"{root}/{row['name']}", f"{root}/{HIDDEN}/{uuid.uuid4().hex}"
+                for file in (target, hidden):
+                    fs.create_dir(file.rpartition("/")[0], recursive=True)
+                with fs.open_output_stream(hidden) as out:
+                    out.write(row["value"].encode())
+                if stamped and fs.type_name == "local":
+                    os.utime(hidden, (row["updated"].timestamp(),) * 2)
+                fs.move(hidden, target)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    done = rows.mapInArrow(write, "n bigint").agg(F.sum("n")).first()[0] or 0
+    fs, root = resolve(path)
+    if fs.get_file_info(f"{root}/{HIDDEN}").type != pafs.FileType.NotFound:
+        fs.delete_dir(f"{root}/{HIDDEN}")
+    return done
+
+
+def pending(
+    plan: DataFrame, existing: DataFrame, key: str | Sequence[str] = "file_name"
+) -> DataFrame:
     """Planned files that are not at the destination yet."""
-    return plan.join(existing.select(key).distinct(), key, "left_anti")
+    keys = [key] if isinstance(key, str) else list(key)
+    return plan.join(existing.select(*keys).distinct(), keys, "left_anti")
 
 
 def outcome(plan: DataFrame, report: DataFrame, key: str = "file_name") -> DataFrame:

@@ -176,13 +176,16 @@ def test_scratch_is_where_the_session_says(spark):
         assert scratch(spark, "x").startswith(base)
 
 
-def test_skip_and_take_beyond_a_top_n(spark, monkeypatch):
-    monkeypatch.setattr(rows, "MAX_TOP", 5)
-    df = spark.range(50).select((F.col("id") * 3).alias("pos")).repartition(3)
-    assert sorted(r.pos for r in rows.skip(df, 12).collect()) == list(range(36, 150, 3))
-    assert sorted(r.pos for r in rows.take(df, 12).collect()) == list(range(0, 36, 3))
-    assert rows.take(df, 99).count() == 50
-    assert rows.skip(df, 50).count() == 0
+@pytest.mark.parametrize("bits", [1, 3, 16])
+def test_skip_and_take_by_counting_buckets(spark, monkeypatch, bits):
+    monkeypatch.setattr(rows, "BUCKET_BITS", bits)
+    for keys in (range(0, 150, 3), [-(2**63), -5, -4, 0, 9, 10, 2**40, 2**40 + 1, 2**63 - 1], [7]):
+        df = spark.createDataFrame([(k,) for k in keys], "pos bigint").repartition(3)
+        for n in (0, 1, 2, len(keys) - 1, len(keys), 99):
+            assert sorted(r.pos for r in rows.skip(df, n).collect()) == list(keys)[n:]
+            assert sorted(r.pos for r in rows.take(df, n).collect()) == list(keys)[:n]
+    none = spark.createDataFrame([], "pos bigint")
+    assert rows.skip(none, 1).count() == rows.take(none, 1).count() == 0
 
 
 def test_published_patterns():

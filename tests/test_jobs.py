@@ -165,7 +165,7 @@ def test_two_partitions_may_not_write_one_shard(spark, folder):
 
     file = StagedFile("a.npy", "x", 0, 1, 1, 1)
     with pytest.raises(ValueError, match="two partitions"):
-        TokenShardWriter(folder, "job", 2, False).commit([StagedFiles([file]), StagedFiles([file])])
+        TokenShardWriter(folder, "job", 2).commit([StagedFiles([file]), StagedFiles([file])])
 
 
 def test_shard_files_read_back_in_parts(spark, source, folder):
@@ -291,3 +291,91 @@ def test_files_outside_the_glob_do_not_change_the_plan(spark, folder):
     again = build_small(spark, path, f"{folder}/out", glob="*.parquet", resume=True).count()
     assert again == first
     assert len(list(Path(folder, "out", "plan").iterdir())) == 1
+
+
+def test_resume_from_checkpoint_objects(spark, source, folder):
+    from shardloom.operators.checkpoints import read_text_checkpoints, write_text_checkpoints
+
+    shards, checkpoints = pack(DOCUMENTS, SIZE)
+    log = spark.createDataFrame(
+        [(s, f"doc {s}", n) for s, _, n in checkpoints[:5]], "shard_id bigint, doc_id string, docs_consumed bigint"
+    )
+    log = log.withColumn("updated", F.timestamp_seconds(F.lit(1_700_000_000) - F.col("shard_id")))
+    assert write_text_checkpoints(log, f"{folder}/objects") == 5
+    back = read_text_checkpoints(spark, f"{folder}/objects").orderBy("shard_id").collect()
+    assert [(r.shard_id, r.doc_id, r.docs_consumed) for r in back] == [tuple(r)[:3] for r in log.collect()]
+    # The latest by time, which here is the least shard.
+    build_small(spark, source, f"{folder}/out", resume_from=f"{folder}/objects")
+    assert shards_on_disk(f"{folder}/out") == shards[1:]
+    progress = []
+    whole = build_small(spark, source, f"{folder}/all", resume_from=f"{folder}/none", on_progress=progress.append)
+    assert shards_on_disk(f"{folder}/all") == shards and whole.count() == len(shards)
+    assert progress == [{"documents": len(DOCUMENTS), "tokens": sum(map(len, shards))}, {"shards": len(shards)}]
+
+
+def test_text_objects_are_whole_and_may_be_written_again(spark, folder):
+    from shardloom.sources.objects import list_objects, read_text_objects, write_text_objects
+
+    rows = spark.createDataFrame([("a/x.txt", "é"), ("b.txt", ""), ("c.bin", "1:2")], "name string, value string")
+    for _ in range(2):
+        assert write_text_objects(rows.repartition(3), folder) == 3
+    assert {(r.name, r.value) for r in read_text_objects(spark, folder).collect()} == {("a/x.txt", "é"), ("b.txt", "")}
+    assert {r.name for r in list_objects(spark, folder).collect()} == {"a/x.txt", "b.txt", "c.bin"}
+    assert not list(Path(folder).glob("_*"))
+
+
+def test_file_ranks_come_from_the_listing(spark, folder, monkeypatch):
+    from shardloom.sources import corpus as corpus_module
+
+    for part in ("a b", "c%20d", "é", "a"):  # names that paths encode
+        os.makedirs(f"{folder}/{part}")
+        spark.createDataFrame([(part, "text")], "id string, text string").coalesce(1).write.mode("overwrite").parquet(
+            f"{folder}/{part}"
+        )
+    found = corpus(spark, f"{folder}/*").orderBy("pos").collect()
+    paths = corpus_module.ranked_files(spark.read.parquet(f"{folder}/*"))
+    assert len(found) == len(paths) == 4 and paths == sorted(paths)
+    assert [r.pos >> corpus_module.ROW_BITS for r in found] == [0, 1, 2, 3]
+    plan = corpus(spark, f"{folder}/*")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == plan.count("BroadcastExchange")  # no text is shuffled
+    monkeypatch.setattr(corpus_module, "MAX_FILES", 4)
+    with pytest.raises(ValueError, match="merge files"):
+        corpus(spark, f"{folder}/*")
+
+
+def test_paths_that_share_a_fingerprint_get_another(spark, monkeypatch):
+    from shardloom.sources import corpus as corpus_module
+
+    whole, seeds = F.xxhash64, []
+
+    def colliding(path, seed):
+        seeds.append(seed)
+        return F.lit(7).cast("bigint") if len(seeds) < 3 else whole(path, seed)
+
+    monkeypatch.setattr(F, "xxhash64", colliding)
+    ranks, seed = corpus_module.file_ranks(spark, ["a", "b", "c"])
+    assert seed == 2 and ranks.select("_file").distinct().count() == 3
+
+
+def test_one_value_of_the_order_column_spreads_over_tasks(spark, folder):
+    rows = [(f"{i:05d}", "one", f"text {i}") for i in range(4000)]
+    df = spark.createDataFrame(rows, "id string, lang string, text string").orderBy(F.rand(1)).repartition(4)
+    df.write.parquet(folder + "/in")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = corpus(spark, folder + "/in", order_by="lang").cache()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert [r.id for r in placed.orderBy("pos").collect()] == [i for i, *_ in rows]
+    sizes = [r["count"] for r in placed.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 2500
+
+
+def test_other_dumps_are_not_opened(spark, folder):
+    for dump in "ABC":
+        spark.createDataFrame([(dump, "text")], "id string, text string").write.parquet(f"{folder}/data/{dump}")
+    for path, want in ((f"{folder}/data/B", "B"), (f"{folder}/data/[AC]/*.parquet", "AC")):
+        docs = corpus(spark, path)
+        assert sorted(r.id for r in docs.collect()) == list(want)
+        assert {f.rsplit("/", 2)[1] for f in docs.inputFiles()} == set(want)

@@ -15,6 +15,7 @@ from shardloom.operators.checkpoints import checkpoint_log, resume_slices
 from shardloom.operators.offsets import token_offsets
 from shardloom.operators.packing import progress, shard_manifest, shard_slices, shard_tokens
 from shardloom.plans.build import publish
+from shardloom.sources.corpus import corpus
 from tests.packing import checksum, pack
 
 VOCAB = ByteVocab()
@@ -128,13 +129,13 @@ def test_write_tasks_follow_the_tokens(spark, monkeypatch):
     assert used[1:] == [-(-total // 64), len(shards)]
 
 
-@pytest.mark.parametrize("bits,root", [(16, 1 << 20), (3, 1 << 20), (12, 4)])
-def test_offsets_do_not_depend_on_bucketing(spark, monkeypatch, bits, root):
-    monkeypatch.setattr(offsets_module, "BUCKET_BITS", bits)
-    monkeypatch.setattr(offsets_module, "MAX_ROOT_BUCKETS", root)
+@pytest.mark.parametrize("most_runs,parts,ordered", [(1 << 20, 4, False), (0, 1, True), (1 << 20, 1, True)])
+def test_offsets_do_not_depend_on_runs(spark, monkeypatch, most_runs, parts, ordered):
+    monkeypatch.setattr(offsets_module, "MAX_RUNS", most_runs)
     keys = [-(2**63), -70000, -1, 0, 1, 2, 9, 65535, 65536, 2**40, 2**63 - 1]
     lengths = [3, 0, 5, 1, 1, 0, 2, 7, 4, 9, 6]
-    df = spark.createDataFrame(list(zip(keys, lengths)), "pos bigint, n bigint").repartition(4)
+    df = spark.createDataFrame(list(zip(keys, lengths)), "pos bigint, n bigint").repartition(parts)
+    df = df.sortWithinPartitions("pos") if ordered else df
     rows = token_offsets(df).orderBy("pos").collect()
     starts = np.concatenate([[0], np.cumsum(lengths)])
     assert [(r.pos, r.ordinal, r.start, r.end) for r in rows] == [
@@ -199,19 +200,52 @@ def physical_plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_offsets_scan_once_and_never_sort_all_rows_in_one_task(spark, monkeypatch):
-    monkeypatch.setattr(offsets_module, "BUCKET_BITS", 4)
+def shuffled_rows(spark, run):
+    """What ``run`` gives, and how often rows were sorted into ranges meanwhile."""
+    ranged = []
+    whole = type(spark.range(1)).repartitionByRange
+
+    def counting(df, *columns):
+        ranged.append(columns)
+        return whole(df, *columns)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(spark.range(1)), "repartitionByRange", counting)
+        return run(), len(ranged)
+
+
+def test_rows_in_order_are_not_shuffled(spark, folder):
+    """Source order and sorted files: no exchange but that of run totals."""
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    corpus = docs.select(F.col("doc_id").alias("pos"), F.col("source").alias("id"), "text")
-    offsets = token_offsets(VOCAB.tokenized(corpus).select("pos", "id", "n"))
-    offsets.collect()
-    final = physical_plan(offsets).split("== Initial Plan ==")[0]
-    assert final.count("FileScan") == 1
-    assert "ReusedExchange" in final
-    # The one single-partition exchange is fed by bucket totals, not by rows.
-    before, _, after = final.partition("Exchange SinglePartition")
-    assert "Exchange SinglePartition" not in after
-    assert after.lstrip(" \n+-:*()0123456789,_=planidENSURE_REQUIREMENTS[]").startswith("HashAggregate")
+    docs.repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id").write.parquet(folder + "/docs")
+    for order in ("source", "doc_id"):
+        tokens = VOCAB.tokenized(corpus(spark, folder + "/docs", "doc_id", "text", order))
+        lengths = tokens.select("pos", "id", "n")
+        assert "Exchange hashpartitioning" not in physical_plan(lengths)
+        offsets, sorts = shuffled_rows(spark, lambda: token_offsets(lengths))
+        assert sorts == 0
+        plan = physical_plan(offsets)
+        assert plan.count("Exchange") == plan.count("BroadcastExchange") + plan.count("Exchange SinglePartition")
+        rows = offsets.orderBy("pos").collect()
+        assert [r.id for r in rows] == list(range(200)) and [r.ordinal for r in rows] == list(range(200))
+        assert [r.start for r in rows[1:]] == [r.end for r in rows[:-1]]
+
+
+def test_rows_out_of_order_are_sorted_once(spark):
+    df = spark.range(1000).select(F.xxhash64("id").alias("pos"), "id", (F.col("id") % 7).alias("n")).repartition(4)
+    offsets, sorts = shuffled_rows(spark, lambda: token_offsets(df))
+    assert sorts == 1
+    rows = offsets.orderBy("pos").collect()
+    assert [r.ordinal for r in rows] == list(range(1000))
+    assert [r.start for r in rows[1:]] == [r.end for r in rows[:-1]]
+
+
+def test_a_filter_cannot_reach_a_check(spark):
+    """A pushed filter must not make a check see other rows than it was meant for."""
+    df = spark.createDataFrame([(i, f"d{i}", 3) for i in range(9)], "pos bigint, id string, n bigint")
+    offsets = token_offsets(df.repartition(3))
+    assert [tuple(r) for r in offsets.filter("pos = 4").collect()] == [(4, "d4", 3, 12, 4, 15)]
+    assert offsets.filter("id = 'd2' and start = 6").count() == 1
 
 
 def test_assembly_shuffles_once_and_pushes_the_span(spark):

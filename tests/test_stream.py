@@ -94,3 +94,33 @@ def test_a_failed_file_keeps_the_batch(spark, folder):
     packer(docs, 0)
     total = sum(row.n_tokens for row in packer.finalize().collect())
     assert total == 9 * 46
+
+
+def test_what_a_batch_writes_does_not_follow_the_fill(spark, folder):
+    """Ten batches into one open shard: each is one segment, written once."""
+    rows = [(i, f"document {i} " + "word " * 5) for i in range(100)]
+    files, shards = {}, None
+    pack_batch = StreamPacker(spark, folder, order_by="id", shard_size=1 << 20)
+    for k in range(10):
+        batch = spark.createDataFrame(rows[k * 10 : k * 10 + 10], "id bigint, text string")
+        pack_batch(batch, k)
+        segments = {f: f.stat().st_mtime_ns for f in Path(folder, "state", "segments").rglob("*.parquet")}
+        assert all(segments[f] == files[f] for f in files)  # nothing that was written is written again
+        assert spark.read.parquet(f"{folder}/state/segments/{k}").count() == 10
+        files = segments
+    assert len(list(Path(folder, "state").glob("batch=*"))) == 2
+    manifest = pack_batch.finalize().collect()
+    shards, _ = pack(rows, 1 << 20)
+    assert [(r.n_tokens, r.checksum) for r in manifest] == [(len(s), checksum(s)) for s in shards]
+
+
+def test_segments_go_when_their_shard_is_full(spark, folder):
+    rows = [(i, "text " * 9) for i in range(40)]
+    pack_batch = StreamPacker(spark, folder, order_by="id", shard_size=200)
+    for k in range(20):
+        pack_batch(spark.createDataFrame(rows[2 * k : 2 * k + 2], "id bigint, text string"), k)
+        assert len(list(Path(folder, "state", "segments").iterdir())) <= 6
+    shards, checkpoints = pack(rows, 200)
+    manifest = pack_batch.finalize().orderBy("shard_id").collect()
+    assert [r.checksum for r in manifest] == [checksum(s) for s in shards]
+    assert [(r.shard_id, r.last_doc, r.docs_consumed) for r in manifest if r.n_tokens == 200] == checkpoints
