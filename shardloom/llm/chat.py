@@ -7,10 +7,10 @@ two conversations of a pair are joined: it costs a partial aggregation and a joi
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shardloom.operators.offsets import exclusive_totals
+from shardloom.llm.tables import kept
 
 TRAINED_ROLE = "assistant"
 CLOSING = "<|end|>\n"
@@ -31,7 +31,8 @@ def segments(turns: DataFrame, trained_role: str = TRAINED_ROLE) -> DataFrame:
     Null role or text equals null and renders as empty; a row repeated on one side counts
     once; two different rows of one turn are both kept, by role and text. Rows without pair
     or turn, or without a side, are no part of a conversation and are left out. A pair with
-    only one side has no prompt. No task ever needs all turns of a pair.
+    only one side has no prompt. No task ever needs all turns of a pair. Marks inside a text
+    stay as they are: turns and losses go by the masks and rows, not by marks in the string.
     """
     rows = turns.filter(
         F.col("pair_id").isNotNull() & F.col("turn").isNotNull() & F.col("chosen").isNotNull()
@@ -112,7 +113,8 @@ def swapped_answers(conversations: DataFrame) -> DataFrame:
     Chosen is the conversation as it is. Rejected is the same with its last turn's text
     taken from the last turn of the next conversation (the next id there is, whatever the
     gap), which answers something else; the last conversation's rejected side just lacks
-    that turn. Ids are integers.
+    that turn. Ids are integers; rows without id or turn are on the chosen side only, where
+    :func:`segments` leaves them out. An empty table gives no rows.
     """
     rows = conversations.select("conv_id", "turn", "role", "text")
     last = (
@@ -127,20 +129,28 @@ def swapped_answers(conversations: DataFrame) -> DataFrame:
     same = F.col("conv_id") == F.col("_conv")
     with_last = rows.join(ends, same)
     chosen = rows.select(F.col("conv_id").alias("pair_id"), F.lit(True).alias("chosen"), "turn", "role", "text")
-    kept = with_last.filter(F.col("turn") < F.col("_last")).select(
+    shared = with_last.filter(F.col("turn") < F.col("_last")).select(
         F.col("conv_id").alias("pair_id"), F.lit(False).alias("chosen"), "turn", "role", "text"
     )
     answers = last.join(donors, F.col("conv_id") == F.col("_at")).select(
         F.col("conv_id").alias("pair_id"), F.lit(False).alias("chosen"),
         F.col("last.turn").alias("turn"), F.col("last.role").alias("role"), F.col("_text").alias("text"),
     )
-    return chosen.unionByName(kept).unionByName(answers)
+    return chosen.unionByName(shared).unionByName(answers)
 
 
 def _followers(rows: DataFrame) -> DataFrame:
-    """``(_at, _next)``: each ``conv_id`` but the last, and the least greater one. Numbered in buckets of ids."""
+    """``(_at, _next)``: each ``conv_id`` but the last, and the least greater one.
+
+    Distinct ids are dealt into ranges of about equal size, which are written once; the next
+    id is found inside a range, or is the least of the next one. Nothing here can fail on a
+    row, so it does not matter where the optimizer puts a filter.
+    """
     ids = rows.select(F.col("conv_id").cast("bigint").alias("id")).distinct()
-    placed = exclusive_totals(ids.withColumn("one", F.lit(1).cast("bigint")), "id", {"place": "one"})
-    here = placed.select(F.col("id").alias("_at"), F.col("place").alias("_place"))
-    after = placed.select(F.col("id").alias("_next"), (F.col("place") - 1).alias("_before"))
-    return here.join(after, F.col("_place") == F.col("_before")).select("_at", "_next")
+    ranged = kept(ids.repartitionByRange("id").withColumn("part", F.spark_partition_id()), "conversation_ids")
+    inside = Window.partitionBy("part").orderBy("id")
+    firsts = ranged.groupBy("part").agg(F.min("id").alias("first"))  # a row per range
+    edges = firsts.select("part", F.lead("first").over(Window.orderBy("part")).alias("beyond"))
+    placed = ranged.withColumn("follows", F.lead("id").over(inside)).join(edges, "part")
+    found = placed.select(F.col("id").alias("_at"), F.coalesce("follows", "beyond").alias("_next"))
+    return found.filter(F.col("_next").isNotNull())
