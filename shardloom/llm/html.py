@@ -14,6 +14,7 @@ import html as references
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,8 @@ LOT, LOT_CHARS = 256, 4 << 20
 # Fixed values of HTML: elements without content, without visible text, and blocks.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset("head title script style template noscript iframe object svg math canvas".split())
+RAW = frozenset("script style title textarea noscript iframe template".split())
+FOREIGN = ("svg", "math")
 FORMS = frozenset("form button select option textarea label fieldset input".split())
 BLOCKS = frozenset(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt"
@@ -59,7 +62,14 @@ BAD = frozenset(
 )
 BAD_TAGS = frozenset("nav footer aside header menu".split()) | FORMS
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>?|<\?[^>]*>?|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[a-zA-Z/][^>]*$|[^<]+|<", re.S)
+# Fixed rules of HTML: comments, declarations, tags and false end tags, else text. A quoted value
+# may hold the sign that ends a tag. Nothing is tried twice, so time follows the page's length.
+_TOKEN = re.compile(
+    r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*+>?"""
+    r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"'=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|["'=])*+)(>|\Z)"""
+    r"""|</[^>]*+>?|[^<]++|<""",
+    re.S,
+)
 # A name and its value, one pair after another; a quote that the tag's end cuts off is a value too.
 _ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*("[^"]*"?|'[^']*'?|[^\s>]*))?""")
 _PART = re.compile(r"[a-z]+")
@@ -85,23 +95,58 @@ class Node:
     pieces: list = field(default_factory=list)  # texts and children's numbers, in order
 
 
+class _Open:
+    """The open elements, with their places by tag, so that no end tag has to search for its own."""
+
+    def __init__(self) -> None:
+        self.nodes = [Node("#root", -1, 0)]
+        self.stack = [0]
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def push(self, node: Node) -> None:
+        place = len(self.stack)
+        self.stack.append(len(self.nodes) - 1)
+        self.places.setdefault(node.tag, []).append(place)
+        if node.tag in BLOCKS:
+            self.blocks.append(place)
+
+    def cut(self, place: int) -> None:
+        """Close the element at ``place`` and all within it."""
+        while len(self.stack) > place:
+            tag = self.nodes[self.stack.pop()].tag
+            self.places[tag].pop()
+            if tag in BLOCKS:
+                self.blocks.pop()
+
+    def last(self, tag: str) -> int:
+        """Place of the innermost open element of a tag, 0 if there is none."""
+        places = self.places.get(tag)
+        return places[-1] if places else 0
+
+    def close(self, tag: str) -> None:
+        if self.last(tag):
+            self.cut(self.last(tag))
+
+    def end_paragraph(self) -> None:
+        """A block ends an open paragraph, with the inline elements left open in it."""
+        if self.blocks and self.blocks[-1] == self.last("p"):
+            self.cut(self.blocks[-1])
+
+    def end_item(self, ended: set[str]) -> None:
+        """An item ends the one before it, unless a container has been opened since."""
+        place = max(map(self.last, ended))
+        if place and place >= max(map(self.last, CONTAINERS)):
+            self.cut(place)
+
+
 def parse(page: str) -> list[Node]:
     """The page's elements in order; 0 is the root. Broken markup is closed where it must be."""
-    nodes = [Node("#root", -1, 0)]
-    stack = [0]
-    raw_until = None
+    opened = _Open()
+    nodes, stack = opened.nodes, opened.stack
     position = 0
-    lowered = None
     while position < len(page):
-        if raw_until:  # script, style and the like end at their own end tag only
-            lowered = lowered or page.lower()
-            end = lowered.find(f"</{raw_until}", position)
-            position = len(page) if end < 0 else end
-            raw_until = None
-            continue
         match = _TOKEN.match(page, position)
-        if match is None:
-            break
         position = match.end()
         tag = match[2]
         if tag is None:
@@ -109,52 +154,34 @@ def parse(page: str) -> list[Node]:
             if text[0] != "<" or len(text) == 1:
                 nodes[stack[-1]].pieces.append(text)
             continue
+        if not match[4]:
+            break  # the page ends within a tag
         tag = tag.lower()
         if match[1]:
-            _close(nodes, stack, tag)
+            opened.close(tag)
             continue
         if tag in BLOCKS and tag != "br":
-            _end_paragraph(nodes, stack)
+            opened.end_paragraph()
         if tag in CLOSES:
-            _end_item(nodes, stack, CLOSES[tag])
+            opened.end_item(CLOSES[tag])
         node = Node(tag, stack[-1], len(stack))
         _describe(node, match[3])
         nodes[stack[-1]].pieces.append(len(nodes))
         nodes.append(node)
-        if tag in VOID or match[3].endswith("/"):
+        # A slash closes foreign elements only; elsewhere it says nothing.
+        foreign = tag in FOREIGN or any(map(opened.last, FOREIGN))
+        if tag in VOID or (foreign and match[3].endswith("/")):
             continue
-        if tag in ("script", "style", "title", "textarea", "noscript", "iframe", "template"):
-            raw_until = tag
-        stack.append(len(nodes) - 1)
+        opened.push(node)
+        if tag in RAW and not foreign:  # these end at their own end tag only
+            end = _raw_end(tag).search(page, position)
+            position = end.start() if end else len(page)
     return nodes
 
 
-def _close(nodes: list[Node], stack: list[int], tag: str) -> None:
-    for depth in range(len(stack) - 1, 0, -1):
-        if nodes[stack[depth]].tag == tag:
-            del stack[depth:]
-            return
-
-
-def _end_paragraph(nodes: list[Node], stack: list[int]) -> None:
-    """A block ends an open paragraph, with the inline elements left open in it."""
-    for depth in range(len(stack) - 1, 0, -1):
-        tag = nodes[stack[depth]].tag
-        if tag == "p":
-            del stack[depth:]
-            return
-        if tag in BLOCKS:
-            return
-
-
-def _end_item(nodes: list[Node], stack: list[int], ended: set[str]) -> None:
-    for depth in range(len(stack) - 1, 0, -1):
-        tag = nodes[stack[depth]].tag
-        if tag in ended:
-            del stack[depth:]
-            return
-        if tag in CONTAINERS:
-            return
+@lru_cache
+def _raw_end(tag: str) -> re.Pattern:
+    return re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I | re.A)
 
 
 def _describe(node: Node, attributes: str) -> None:
