@@ -24,9 +24,12 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 8
 EMBEDDING = 8
-# The training sample: so many documents of each label at most, by a hash of the id, so many
-# windows of each. Held-out documents are never among them.
+# The training sample: so many documents of each label at most, by a hash of the id, and of all
+# labels together so many; but a label always has some. Of each document so many windows.
+# Held-out documents are never among them.
 SAMPLE_DOCUMENTS = 2_000
+SAMPLE_IN_ALL = 16_000
+SAMPLE_OF_EACH = 20
 SAMPLE_WINDOWS = 4
 STEPS = 600
 BATCH = 64
@@ -35,7 +38,7 @@ UNKNOWN = "und"
 # Windows that are worked off at once.
 BLOCK = 512
 
-_LETTER = re.compile(r"[^\W\d_]")
+_WORD = re.compile(r"[^\W\d_]")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -43,6 +46,11 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 4 == 2, F.lit(False))
 
 
+def _has_letter(text: str) -> bool:
+    """Whether a character is of one of the letter categories; number signs and marks are not."""
+    return any(found[0].isalpha() for found in _WORD.finditer(text))
+
+
 class ByteNet:
     """Embedding, filters of several widths, max pooling, softmax; byte 0 pads."""
 
@@ -174,10 +182,11 @@ def train(
 ) -> ByteNet | None:
     """A network fitted on at most ``sample`` documents of each label that are not held out.
 
-    Every label with such a document is learnt, however rare. The sample is the least of each
-    label by a hash of id and text; only it comes to the driver, and of each text
-    ``SAMPLE_WINDOWS`` windows spread over its whole length: some 2 MB for a label. Without a
-    labelled text there is nothing to learn and the result is None.
+    Every label with such a document is learnt, however rare. With many labels each has less:
+    ``SAMPLE_IN_ALL`` documents are shared out, but not below ``SAMPLE_OF_EACH``. The sample
+    is the least of each label by a hash of id and text; only it comes to the driver, and of
+    each text ``SAMPLE_WINDOWS`` windows spread over its whole length: some 16 MB, or 20 KB a
+    label if there are over 800 labels. Without a labelled text the result is None.
     """
     labelled = docs.filter(
         ~held_out(quoted(id_col)) & quoted(label_col).isNotNull() & (F.octet_length(quoted(text_col)) > 0)
@@ -187,7 +196,11 @@ def train(
         F.substring(F.col("text"), step * k + 1, F.lit(WINDOW)) for k in range(SAMPLE_WINDOWS)
     ])
     drawn = labelled.select("label", pieces.alias("pieces"), F.xxhash64("id", "text", F.lit(seed)).alias("at"))
-    rows = least_hashed_of_each(drawn, "label", "at", sample).select("label", "pieces").collect()
+    n_labels = docs.filter(~held_out(quoted(id_col)) & quoted(label_col).isNotNull()).agg(
+        F.count_distinct(quoted(label_col))
+    ).first()[0]
+    share = min(sample, max(SAMPLE_OF_EACH, SAMPLE_IN_ALL // max(n_labels, 1)))
+    rows = least_hashed_of_each(drawn, "label", "at", share).select("label", "pieces").collect()
     if not rows:
         return None
     labels = sorted({row.label for row in rows})
@@ -231,7 +244,7 @@ def _means(texts: list[bytes], net: ByteNet, tables):
     """``(i, label log-probabilities)`` of the texts with a letter, renormalised after averaging."""
     pending, size = [], 0
     for i, text in enumerate(texts):
-        if not _LETTER.search(text.decode("utf-8", "replace")):
+        if not _has_letter(text.decode("utf-8", "replace")):
             continue
         pending.append(i)
         size += len(text) + WINDOW
