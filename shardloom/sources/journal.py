@@ -129,8 +129,8 @@ def stranded(dst: str) -> list[str]:
     folder = f"{root}/{STAGING}"
     if fs.get_file_info(folder).type != pafs.FileType.Directory:
         return []
-    known = set(jobs(dst))
     staged = [e.base_name for e in fs.get_file_info(pafs.FileSelector(folder))]
+    known = set(jobs(dst))  # looked at last: a job that begins now has its entry before its staging
     return [job for job in staged if job not in known and job not in _held]
 
 
