@@ -30,6 +30,13 @@ from pyspark.sql import functions as F
 
 from shardloom.llm.graph import components
 from shardloom.llm.near_dedup import shingle_sets
+from shardloom.llm.sketches import (
+    bit_sketch,
+    could_be_similar,
+    most_unlike,
+    one_of_equal,
+    pairs_by_blocks,
+)
 from shardloom.llm.tables import kept, quoted
 from shardloom.llm.text import encoded, groups, mixed, starts_of
 from shardloom.session import attach
@@ -40,22 +47,13 @@ SIMILAR_PERCENT = 85
 BAND = 1.6
 # Choices of words, and the share of a band's smallest sets that need more than the first.
 CHOICES, NEEDY = 6, 0.05
-# Members of a bucket that one task compares with as many others.
-BLOCK = 256
-# 64-bit words of the sketch of single bits: four bits an element, between these.
-FEWEST_BITS, MOST_BITS = 1 << 4, 1 << 9
 # Rounds that attach what is apart to a bucket's largest component, at most.
 ATTACHING = 3
 
-_SALTS = np.random.default_rng(20240612).integers(1, 1 << 63, CHOICES + 2, dtype=np.uint64)
+_SALTS = np.random.default_rng(20240612).integers(1, 1 << 63, CHOICES + 1, dtype=np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def most_unlike(both: int | np.ndarray) -> int | np.ndarray:
-    """Elements that only one of two similar sets can have, by the sum of their sizes."""
-    return both * (100 - SIMILAR_PERCENT) // (100 + SIMILAR_PERCENT)
-
-
 @lru_cache
 def bands(largest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Smallest size of each band up to ``largest`` and one beyond, its ``t`` and its ``m``."""
@@ -64,7 +62,7 @@ def bands(largest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         edges.append(max(edges[-1] + 1, int(edges[-1] * BAND)))
     unlike, words = [], []
     for low, above in zip(edges, [*edges[1:], int(edges[-1] * BAND) + 1]):
-        t = most_unlike(2 * (above - 1))
+        t = most_unlike(2 * (above - 1), SIMILAR_PERCENT)
         smallest = -(-low * SIMILAR_PERCENT // 100)
         spare = 0
         while _lacking(smallest, t + 1 + spare, spare) > NEEDY and spare < t + 1:
@@ -151,19 +149,6 @@ def _empty(
     return np.concatenate(keys), np.concatenate(owners)
 
 
-def bit_sketch(values: np.ndarray) -> bytes:
-    """One bit for each element's parity; its length is a power of two that follows the size."""
-    size = 1 << max(0, (len(values) // 16 - 1)).bit_length()
-    size = min(max(size, FEWEST_BITS), MOST_BITS)
-    at = (mixed(values ^ _SALTS[-2]) & np.uint64(64 * size - 1)).astype(np.int64)
-    return np.packbits(np.bincount(at, minlength=64 * size).astype(np.uint8) & 1).tobytes()
-
-
-def _folded(sketch: bytes, words: int) -> np.ndarray:
-    """A sketch as ``words`` 64-bit words, its parts laid over each other: again a sketch."""
-    return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint64).reshape(-1, words), axis=0)
-
-
 def described(text: Column) -> Column:
     """Struct of a text's n-gram set: its size, 128 bits of fingerprint, the keys it meets at."""
 
@@ -234,14 +219,10 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     classes = kept(
         classes.select("f1", "f2", "n", F.col("least.doc_id").alias("rep"), "least.text_hash"), "classes"
     )
-    links = _links(texts, known, classes)
-    if links is None:
-        labelled = classes.withColumn("component", F.col("rep"))
-    else:
-        labels = components(links)
-        labelled = classes.join(labels, F.col("rep") == F.col("node"), "left").withColumn(
-            "component", F.coalesce("component", "rep")
-        )
+    labels = _labels(texts, known, classes)
+    labelled = classes.join(labels, F.col("rep") == F.col("node"), "left").withColumn(
+        "component", F.coalesce("component", "rep")
+    )
     by_set = kept(labelled.select("f1", "f2", "n", "component"), "components")
     # An id with several texts ties their classes together.
     several = known.groupBy("doc_id").agg(F.min("f1").alias("x"), F.max("f1").alias("y")).filter("x != y")
@@ -257,8 +238,8 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
-def _links(texts: DataFrame, known: DataFrame, classes: DataFrame) -> DataFrame | None:
-    """Links ``(a, b)`` that join all similar classes into their components; none is None."""
+def _labels(texts: DataFrame, known: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(node, component)`` of all classes that are linked with another."""
     reps = known.select(F.col("doc_id").alias("rep"), "text_hash", "keys").join(
         classes.select("rep", "text_hash"), ["rep", "text_hash"]
     )
@@ -269,28 +250,34 @@ def _links(texts: DataFrame, known: DataFrame, classes: DataFrame) -> DataFrame
     buckets = kept(met.filter("low != high").drop("high"), "buckets")
     meeting = buckets.select(F.col("rep").alias("doc_id"), "text_hash").distinct()
     keyed = texts.withColumn("text_hash", F.xxhash64("text")).join(meeting, ["doc_id", "text_hash"], "left_semi")
-    members = keyed.dropDuplicates(["doc_id", "text_hash"]).select(
-        F.col("doc_id").alias("rep"), whole_sets(F.col("text")).alias("s")
-    )
+    rows = known.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
+    if not rows.filter("rows > 1").isEmpty():  # texts are shuffled only where rows are repeated
+        keyed = keyed.dropDuplicates(["doc_id", "text_hash"])
+    members = keyed.select(F.col("doc_id").alias("rep"), whole_sets(F.col("text")).alias("s"))
     sets = kept(members.select("rep", F.size("s.set").cast("bigint").alias("n"), "s.set", "s.bits"), "sets")
 
-    buckets = buckets.select("key", "rep", "low").distinct()
-    first = buckets.filter("rep != low").select(F.col("rep").alias("x"), F.col("low").alias("c"))
-    compared = [kept(first.distinct(), "pairs")]
-    links = [kept(_verified(compared[0], sets), "links")]
-    for round_ in range(1, ATTACHING + 2):
-        apart = _apart(buckets, links)
-        if apart is None:
-            break
-        last = round_ > ATTACHING or (round_ > 1 and links[-1].isEmpty())
-        pairs = _by_blocks(apart, sets) if last else _with_largest(apart, round_)
-        before = reduce(DataFrame.union, compared)
-        compared.append(kept(pairs.join(before, ["x", "c"], "left_anti"), "pairs"))
-        links.append(kept(_verified(compared[-1], sets), "links"))
+    pairs = buckets.filter("rep != low").select(F.col("rep").alias("x"), F.col("low").alias("c")).distinct()
+    labels = texts.sparkSession.createDataFrame([], "node bigint, component bigint")
+    compared: list[DataFrame] = []
+    apart, last = None, False
+    while True:
+        if compared:
+            pairs = pairs.join(reduce(DataFrame.union, compared), ["x", "c"], "left_anti")
+        if not last:
+            pairs = could_be_similar(pairs, sets, SIMILAR_PERCENT)
+        compared.append(kept(pairs, "pairs"))
+        links = kept(_verified(compared[-1], sets), "links")
+        found = not links.isEmpty()
+        if found:
+            labels = kept(components(links.union(labels.toDF("a", "b"))), "labels")
         if last:
-            break
-    found = reduce(DataFrame.union, links)
-    return None if found.isEmpty() else found
+            return labels
+        if found or apart is None:
+            apart = _apart(buckets, labels)
+            if apart is None:
+                return labels
+        last = not found or len(compared) > ATTACHING
+        pairs = pairs_by_blocks(apart, sets, SIMILAR_PERCENT) if last else _with_largest(apart, len(compared))
 
 
 def _pair(a: Column, b: Column) -> list[Column]:
@@ -312,23 +299,12 @@ def _fitting(n: Column, m: Column) -> Column:
     return 100 * F.least(n, m) >= SIMILAR_PERCENT * F.greatest(n, m)
 
 
-def _apart(buckets: DataFrame, links: list[DataFrame]) -> DataFrame | None:
+def _apart(buckets: DataFrame, labels: DataFrame) -> DataFrame | None:
     """Buckets with several components, their members labelled; of equal buckets one."""
-    found = reduce(DataFrame.union, links)
-    if found.isEmpty():
-        labelled = buckets.withColumn("label", F.col("rep"))
-    else:
-        labels = components(found)
-        labelled = buckets.join(labels, F.col("rep") == F.col("node"), "left").withColumn(
-            "label", F.coalesce("component", "rep")
-        )
-    labelled = labelled.select("key", "rep", "label")
-    content = [F.bit_xor(F.xxhash64("rep", F.lit(salt))).alias(f"of{salt}") for salt in (1, 2)]
-    mixed_ = labelled.groupBy("key").agg(
-        F.min("label").alias("least"), F.max("label").alias("greatest"), F.count(F.lit(1)).alias("members"), *content
+    labelled = buckets.join(labels, F.col("rep") == F.col("node"), "left").withColumn(
+        "label", F.coalesce("component", "rep")
     )
-    one = mixed_.filter("least != greatest").groupBy("of1", "of2", "members").agg(F.min("key").alias("key"))
-    left = kept(labelled.join(one.select("key", "members"), "key"), "apart")
+    left = kept(one_of_equal(labelled.select("key", "rep", "label")), "apart")
     return None if left.isEmpty() else left
 
 
@@ -340,41 +316,3 @@ def _with_largest(apart: DataFrame, round_: int) -> DataFrame:
     chosen = top.select("key", F.col("top.label").alias("of"), F.col("top.one.rep").alias("one"))
     outside = apart.join(chosen, "key").filter(F.col("label") != F.col("of"))
     return outside.select(*_pair(F.col("rep"), F.col("one"))).distinct()
-
-
-def _by_blocks(apart: DataFrame, sets: DataFrame) -> DataFrame:
-    """All pairs of a bucket's members of different components that could be similar.
-
-    A bucket is cut into blocks, and any two blocks, or a block with itself, are one group:
-    no task holds more than two of them, however large the bucket.
-    """
-    place = F.row_number().over(Window.partitionBy("key").orderBy("rep")) - 1
-    number = F.expr(f"cast((members - 1) div {BLOCK} as int)")
-    blocks = apart.withColumn("block", F.floor(place / BLOCK).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), number))
-    )
-    described_ = blocks.select(
-        "key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
-        "block", "rep", "label",
-    ).join(sets.select("rep", "n", "bits"), "rep")
-    pairs = described_.groupBy("key", "lo", "hi").applyInArrow(_compare, "x bigint, c bigint")
-    return pairs.distinct()
-
-
-def _compare(table: pa.Table) -> pa.Table:
-    block, rep, label, n = (table.column(c).to_numpy() for c in ("block", "rep", "label", "n"))
-    bits = [b.as_py() for b in table.column("bits")]
-    words = min(map(len, bits)) // 8
-    sketches = np.stack([_folded(b, words) for b in bits])
-    lo, hi = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
-    left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
-    x, c = [], []
-    for i in left.tolist():
-        unlike = np.bitwise_count(sketches[right] ^ sketches[i]).sum(axis=1, dtype=np.int64)
-        least, most = np.minimum(n[right], n[i]), np.maximum(n[right], n[i])
-        could = (unlike <= most_unlike(n[right] + n[i])) & (100 * least >= SIMILAR_PERCENT * most)
-        could &= label[right] != label[i]
-        others = rep[right[could]]
-        x.append(np.maximum(others, rep[i]))
-        c.append(np.minimum(others, rep[i]))
-    return pa.table({"x": np.concatenate(x), "c": np.concatenate(c)})

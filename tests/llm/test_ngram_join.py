@@ -8,7 +8,7 @@ import re
 import numpy as np
 import pytest
 
-from shardloom.llm import ngram_join
+from shardloom.llm import ngram_join, sketches
 from shardloom.llm.near_dedup import shingle_sets
 
 SCHEMA = "doc_id bigint, text string, Key string, `a.b` int"
@@ -77,7 +77,7 @@ def rows():
 @pytest.mark.parametrize("attaching,block", [(3, 256), (0, 3)])
 def test_components_equal_all_pairs(spark, rows, monkeypatch, attaching, block):
     monkeypatch.setattr(ngram_join, "ATTACHING", attaching)
-    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(sketches, "BLOCK", block)
     found = ngram_join.ngram_components(spark.createDataFrame(rows, SCHEMA).repartition(4))
     assert found.columns == ["doc_id", "n_shingles", "component_id"]
     assert sorted(map(tuple, found.collect()), key=repr) == joined(rows)
@@ -121,11 +121,11 @@ def test_similar_sets_always_meet(monkeypatch, choices):
 
 def test_bits_bound_the_difference():
     for a, b in pairs_around_the_threshold(random.Random(1), 300, 1, 9000):
-        x, y = ngram_join.bit_sketch(a), ngram_join.bit_sketch(b)
+        x, y = sketches.bit_sketch(a), sketches.bit_sketch(b)
         size = min(len(x), len(y)) // 8
-        unlike = ngram_join._folded(x, size) ^ ngram_join._folded(y, size)
+        unlike = sketches.folded(x, size) ^ sketches.folded(y, size)
         apart = len(np.setxor1d(a, b))
-        assert int(np.bitwise_count(unlike).sum()) <= apart <= ngram_join.most_unlike(len(a) + len(b))
+        assert int(np.bitwise_count(unlike).sum()) <= apart <= sketches.most_unlike(len(a) + len(b), 85)
 
 
 def test_empty_table(spark):
