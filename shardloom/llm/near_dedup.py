@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shardloom.llm.graph import components
+from shardloom.llm.sketches import bit_sketch, could_be_similar, one_of_equal, pairs_by_blocks
 from shardloom.llm.tables import clear_name, kept, quoted
 from shardloom.llm.text import (
     encoded,
@@ -44,12 +45,7 @@ ATTACHING = 6
 ELEMENTS = 1 << 15
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_SETS = "struct<n:bigint,f1:bigint,f2:bigint,bands:array<bigint>,sketch:array<bigint>>"
-# A sketch has 4 bits of every signature slot, 16 slots to a number. Of SIGNATURE slots a pair
-# at the threshold differs in 120 with a deviation of 9.6; more than 163, 4.5 deviations on,
-# and it is not compared: a loss of 3e-6 at the threshold itself.
-SKETCH = -(-SIGNATURE // 16)
-MOST_UNLIKE = 163
+_SETS = "struct<n:bigint,f1:bigint,f2:bigint,bands:array<bigint>>"
 
 
 def shingle_sets(texts: list[bytes], width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -130,35 +126,13 @@ def bands_of(signatures: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def sketches_of(signatures: np.ndarray) -> np.ndarray:
-    """Four bits of a hash of each slot, packed."""
-    nibbles = np.zeros((len(signatures), SKETCH * 16), np.uint64)
-    bits = np.ascontiguousarray(signatures).view(np.uint64)
-    nibbles[:, :SIGNATURE] = mixed(bits ^ _STEP) >> np.uint64(60)
-    shifts = np.arange(16, dtype=np.uint64) * np.uint64(4)
-    return (nibbles.reshape(len(signatures), SKETCH, 16) << shifts).sum(axis=2, dtype=np.uint64).view(np.int64)
-
-
-def _unlike(left: Column, right: Column) -> Column:
-    """In how many slots two sketches differ."""
-
-    def slots(x: Column) -> Column:
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-        return F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
-
-    # Lambdas, as one expression for all numbers is too long for the compiler of the JVM.
-    different = F.zip_with(left, right, lambda a, b: slots(a.bitwiseXOR(b)))
-    return F.aggregate(different, F.lit(0), lambda total, n: total + n)
-
-
 def described(text: Column) -> Column:
     """Struct of a text's shingle set: size, 128-bit fingerprint and band keys (null if empty)."""
 
     @F.arrow_udf(_SETS)
     def describe(column: pa.Array) -> pa.Array:
         texts = encoded(column)
-        sizes, prints, keys, sketches = [], [], [], []
+        sizes, prints, keys = [], [], []
         for lo, hi in groups([len(t) for t in texts]):
             values, counts = shingle_sets(texts[lo:hi])
             begins = starts_of(counts)
@@ -167,9 +141,7 @@ def described(text: Column) -> Column:
                 sums = np.zeros(len(values) + 1, np.uint64)
                 np.cumsum(mixed(values + salt), out=sums[1:])
                 prints.append(sums[begins[1:]] - sums[begins[:-1]])
-            table = superminhash(values, counts)
-            keys.append(bands_of(table))
-            sketches.append(sketches_of(table))
+            keys.append(bands_of(superminhash(values, counts)))
         n = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
 
         def joined(parts: list[np.ndarray]) -> pa.Array:
@@ -181,44 +153,39 @@ def described(text: Column) -> Column:
             return pa.ListArray.from_arrays(offsets, pa.array(flat), mask=pa.array(n == 0))
 
         return pa.StructArray.from_arrays(
-            [pa.array(n), joined(prints[::2]), joined(prints[1::2]), lists(keys, BANDS), lists(sketches, SKETCH)],
-            ["n", "f1", "f2", "bands", "sketch"],
+            [pa.array(n), joined(prints[::2]), joined(prints[1::2]), lists(keys, BANDS)],
+            ["n", "f1", "f2", "bands"],
         )
 
     return describe(text)
 
 
 def full_sets(text: Column) -> Column:
-    """The shingle set as an array of 64-bit fingerprints."""
+    """Struct of the shingle set as an array of 64-bit fingerprints, and its parity sketch."""
 
-    @F.arrow_udf("array<bigint>")
+    @F.arrow_udf("struct<set:array<bigint>,bits:binary>")
     def full(column: pa.Array) -> pa.Array:
-        texts, flat, sizes = encoded(column), [], []
+        texts, none = encoded(column), np.zeros(0, np.int64)
+        flat, sizes, bits = [none], [none], []
         for lo, hi in groups([len(t) for t in texts]):
             values, counts = shingle_sets(texts[lo:hi])
+            begins = starts_of(counts)
+            bits.extend(bit_sketch(values[a:b]) for a, b in zip(begins[:-1], begins[1:], strict=True))
             flat.append(values.view(np.int64))
             sizes.append(counts)
-        if not texts:
-            return pa.array([], pa.list_(pa.int64()))
         offsets = pa.array(starts_of(np.concatenate(sizes)), pa.int32())
-        return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(flat)))
+        return pa.StructArray.from_arrays(
+            [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(flat))), pa.array(bits, pa.binary())],
+            ["set", "bits"],
+        )
 
     return full(text)
 
 
-def similar(left_set: Column, right_set: Column) -> Column:
+def similar(left: Column, n: Column, right: Column, m: Column) -> Column:
     """Whether 100 times the intersection is at least ``SIMILAR_PERCENT`` times the union."""
-
-    @F.arrow_udf("boolean")
-    def apply(left: pa.Array, right: pa.Array) -> pa.Array:
-        found = []
-        for a, b in zip(left, right, strict=True):
-            x, y = a.values.to_numpy(), b.values.to_numpy()
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            found.append(100 * common >= SIMILAR_PERCENT * (len(x) + len(y) - common))
-        return pa.array(found, pa.bool_())
-
-    return apply(left_set, right_set)
+    common = F.size(F.array_intersect(left, right)).cast("bigint")
+    return 100 * common >= SIMILAR_PERCENT * (n + m - common)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -240,14 +207,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # A class per set: the least id stands for it.
     classes = kept(
         known.groupBy("f1", "f2", "n")
-        .agg(
-            F.min(F.struct("doc_id", "text_hash")).alias("least"),
-            F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
-        )
-        .select("f1", "f2", "n", F.col("least.doc_id").alias("rep"), "least.text_hash", "bands", "sketch"),
+        .agg(F.min(F.struct("doc_id", "text_hash")).alias("least"), F.first("bands").alias("bands"))
+        .select("f1", "f2", "n", F.col("least.doc_id").alias("rep"), "least.text_hash", "bands"),
         "classes",
     )
-    labels = _labels(texts, classes)
+    labels = _labels(texts, known, classes)
     by_set = classes.join(labels, F.col("rep") == F.col("node"), "left").select(
         "f1", "f2", "n", F.coalesce("component", "rep").alias("component")
     )
@@ -271,17 +235,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def _labels(texts: DataFrame, classes: DataFrame) -> DataFrame:
+def _labels(texts: DataFrame, known: DataFrame, classes: DataFrame) -> DataFrame:
     """``(node, component)`` of all classes that are linked with another."""
     banded = classes.select("rep", "text_hash", "n", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     buckets = kept(banded.join(shared.select("band"), "band"), "buckets")
     meeting = buckets.select(F.col("rep").alias("doc_id"), "text_hash").distinct()
     keyed = texts.withColumn("text_hash", F.xxhash64("text")).join(meeting, ["doc_id", "text_hash"], "left_semi")
-    packed = keyed.dropDuplicates(["doc_id", "text_hash"])
-    sets = packed.select(F.col("doc_id").alias("rep"), full_sets(F.col("text")).alias("set"))
-    sets = kept(sets.select("rep", F.size("set").cast("bigint").alias("n"), "set"), "full_sets")
-    links: list[DataFrame] = []
+    copies = known.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
+    if not copies.filter("rows > 1").isEmpty():  # texts are shuffled only where rows are repeated
+        keyed = keyed.dropDuplicates(["doc_id", "text_hash"])
+    sets = keyed.select(F.col("doc_id").alias("rep"), full_sets(F.col("text")).alias("s"))
+    sets = kept(sets.select("rep", F.size("s.set").cast("bigint").alias("n"), "s.set", "s.bits"), "full_sets")
     compared: list[DataFrame] = []
     labels, apart, rounds = None, buckets, 0
     while True:
@@ -291,15 +256,18 @@ def _labels(texts: DataFrame, classes: DataFrame) -> DataFrame:
         elif rounds:
             pairs = _with_largest(apart, rounds)
         else:
-            pairs = _by_prefix(apart, sets, classes)
+            blocks = one_of_equal(apart.select(F.col("band").alias("key"), "rep", "label").distinct())
+            pairs = pairs_by_blocks(kept(blocks, "blocks"), sets, SIMILAR_PERCENT)
         if compared:
             pairs = pairs.join(reduce(DataFrame.union, compared), ["x", "c"], "left_anti")
+        if not last:
+            pairs = could_be_similar(pairs, sets, SIMILAR_PERCENT)
         compared.append(kept(pairs, "pairs"))
         new = kept(_verified(compared[-1], sets), "verified")
         found = not new.isEmpty()
         if labels is None or found:
-            links.append(new)
-            labels = kept(components(reduce(DataFrame.union, links)), "labels")
+            linked = new if labels is None else new.union(labels.toDF("a", "b"))
+            labels = kept(components(linked), "labels")
         if last:
             return labels
         rounds = rounds + 1 if found and rounds < ATTACHING else 0
@@ -334,42 +302,12 @@ def _with_largest(buckets: DataFrame, round_: int) -> DataFrame:
     return _fitting(buckets.join(centres, "band"), F.col("label") != F.col("c_label"))
 
 
-def _by_prefix(buckets: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of different components that can be similar at all, among members of ``buckets``.
-
-    Similar sets share one of the rarest shingles of both: of ``n`` shingles the first
-    ``n - ceil(0.75 n) + 1``, by frequency among the members. Documents around a common passage
-    have all that is their own there. Copies that are edited beyond the similarity may still
-    meet; their sketches tell them apart. A pair is taken at its least common shingle only.
-    """
-    members = buckets.select("rep", "n", "label").distinct()
-    each = members.join(sets, ["rep", "n"]).select("rep", "n", "label", F.explode("set").alias("shingle"))
-    often = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
-    ordered = each.join(often, "shingle").groupBy("rep", "n", "label").agg(
-        F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("by_rarity")
-    )
-    length = F.expr(f"cast(n - (({SIMILAR_PERCENT} * n + 99) div 100) + 1 as int)")
-    rarest = F.filter(F.slice("by_rarity", F.lit(1), length), lambda s: s["often"] > 1)
-    prefixes = ordered.select("rep", "n", "label", F.transform(rarest, lambda s: s["shingle"]).alias("prefix"))
-    sketches = classes.select("rep", "n", "sketch")
-    prefixes = kept(prefixes.filter(F.size("prefix") > 0).join(sketches, ["rep", "n"]), "prefixes")
-    rows = prefixes.withColumn("shingle", F.explode("prefix"))
-    mixed_ = rows.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    rows = rows.join(mixed_.filter("low != high").select("shingle"), "shingle")
-    others = rows.select("shingle", *[F.col(c).alias(f"c_{c}") for c in ("n", "label", "prefix", "sketch")], F.col("rep").alias("c"))
-    apart = (
-        (F.col("rep") > F.col("c"))
-        & (F.col("label") != F.col("c_label"))
-        & (_unlike(F.col("sketch"), F.col("c_sketch")) <= MOST_UNLIKE)
-        & (F.array_min(F.array_intersect("prefix", "c_prefix")) == F.col("shingle"))
-    )
-    return _fitting(rows.join(others, "shingle").withColumnRenamed("c_n", "cn"), apart)
-
-
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    left = pairs.join(sets.select(F.col("rep").alias("c"), F.col("set").alias("c_set")), "c")
-    both = left.join(sets.select(F.col("rep").alias("x"), F.col("set").alias("x_set")), "x")
-    return both.filter(similar(F.col("x_set"), F.col("c_set"))).select(F.col("x").alias("a"), F.col("c").alias("b"))
+    small = sets.select("rep", "n", "set")
+    left = pairs.join(small.select(F.col("rep").alias("c"), F.col("n").alias("c_n"), F.col("set").alias("c_set")), "c")
+    both = left.join(small.select(F.col("rep").alias("x"), F.col("n").alias("x_n"), F.col("set").alias("x_set")), "x")
+    found = both.filter(similar(F.col("x_set"), F.col("x_n"), F.col("c_set"), F.col("c_n")))
+    return found.select(F.col("x").alias("a"), F.col("c").alias("b"))
 
 
 def _still_apart(buckets: DataFrame, labels: DataFrame) -> DataFrame | None:
@@ -383,9 +321,28 @@ def _still_apart(buckets: DataFrame, labels: DataFrame) -> DataFrame | None:
 
 
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id stands for its component, columns as they were."""
-    found = near_duplicates(docs, id_col, text_col).filter(~F.col("kept"))
-    gone = clear_name(docs, "_gone")
-    dropped = found.select(F.col("doc_id").alias(gone)).distinct()
-    rows = docs.join(dropped, quoted(id_col).cast("bigint") == F.col(gone), "left_anti")
-    return rows.select(*map(quoted, docs.columns))
+    """One row of ``docs`` of each component of near duplicates, columns as they were.
+
+    It is a row whose id stands for its component; of several rows of that id, the least by
+    their columns. A row without id takes part by its text, behind all rows with one; without
+    words it is linked with nothing and stays. ``docs`` is read several times and must give
+    the same rows each time, as tables do.
+    """
+    key, row = (clear_name(docs, name) for name in ("_key", "_row"))
+    text = quoted(text_col)
+    # Stands for the text of a row without id; beyond ids in use, so that rows with one come first.
+    by_text = F.xxhash64(text).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    own = F.when(quoted(id_col).isNotNull(), quoted(id_col).cast("bigint")).when(
+        text.rlike(r"[^\x20\x09-\x0D]"), by_text
+    )
+    found = near_duplicates(docs.select(own.alias("doc_id"), text.alias("text")))
+    gone = kept(found.filter(~F.col("kept")).select(F.col("doc_id").alias(key)).distinct(), "gone")
+    rows = docs.withColumn(key, own).join(gone, key, "left_anti")
+    again = rows.filter(quoted(key).isNotNull()).groupBy(quoted(key)).count().filter("count > 1")
+    again = kept(again.select(key), "repeated_ids")
+    if again.isEmpty():
+        return rows.select(*map(quoted, docs.columns))
+    columns = [quoted(c) for c in docs.columns]
+    once = rows.join(again, key, "left_anti").select(*columns)
+    first = rows.join(again, key, "left_semi").groupBy(quoted(key)).agg(F.min(F.struct(*columns)).alias(row))
+    return once.union(first.select(*[quoted(row).getField(c).alias(c) for c in docs.columns]))
