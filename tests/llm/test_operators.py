@@ -553,3 +553,103 @@ def test_least_hashed_is_the_top_n_of_distinct_rows(spark):
         wanted = [r.id for r in rows.distinct().orderBy("at").limit(n).collect()]
         assert [r.id for r in least_hashed(rows, "at", n).collect()] == wanted
     assert least_hashed(rows.filter("false"), "at", 5).collect() == []
+
+
+@pytest.mark.parametrize("ids", [[0, 1, 2, 3, 4], [5, 70_000, -3, 1 << 40, 1 << 62, -(1 << 62)], [9]])
+def test_preferences_under_filters(spark, ids):
+    """A filter on the result gives what filtering the collected rows gives."""
+    rows = [(i, t, "assistant" if t else "user", f"text {i} {t}") for i in ids for t in range(2)]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(3)
+    whole = {r.pair_id: r for r in chat.examples(chat.swapped_answers(turns)).collect()}
+    assert sorted(whole) == sorted(ids)
+    after = dict(zip(sorted(ids), sorted(ids)[1:]))
+    for i in ids:
+        (row,) = chat.examples(chat.swapped_answers(turns)).filter(F.col("pair_id") == i).collect()
+        assert row == whole[i]
+        assert row.rejected == (f"<|assistant|>\ntext {after[i]} 1<|end|>\n" if i in after else "")
+
+
+def test_every_query_under_a_filter(spark):
+    """Filters on a query's key, pushed wherever they go, change nothing else."""
+    from shardloom.llm import queries
+
+    keys = {"op2_chat_preferences": ("conv_id", 3), "op5_sharding": ("doc_id", 7), "op9_mixing": ("doc_id", 7),
+            "op13_vector_codes": ("vec_id", 7), "op10_quality_rules": ("doc_id", 7)}
+    for name, (key, value) in keys.items():
+        frame = queries.queries()[name](spark, "/root/testdata/sf0.001")
+        want = [r for r in frame.collect() if r[key] == value]
+        assert frame.filter(F.col(key) == value).collect() == want and len(want) == 1
+
+
+def test_long_turns_and_clashing_columns(spark):
+    long_ = "word " * 200_000
+    rows = [(1, 0, "user", long_, "x"), (1, 1, "assistant", long_ + "!", "x"), (2, 0, "assistant", "b", "y")]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string, part string")
+    found = {r.pair_id: r for r in chat.examples(chat.swapped_answers(turns)).collect()}
+    assert found[1].prompt == f"<|user|>\n{long_}<|end|>\n"
+    assert found[1].chosen == f"<|assistant|>\n{long_}!<|end|>\n" and found[1].rejected == "<|assistant|>\nb<|end|>\n"
+
+
+@pytest.mark.parametrize("text,letters", [
+    ("²½ ①②③", False), ("Ⅷ Ⅸ", False), ("12 ٣", False), ("́_", False),
+    ("中", True), ("1ª", True), ("ǅ", True), ("ʰ", True), ("", False), (None, False),
+])
+def test_only_letters_have_a_language(spark, text, letters):
+    net = language.ByteNet(["de", "en"])
+    df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    (row,) = language.identify(df, net).collect()
+    assert (row.lang_pred != "und") == letters and (row.score > 0) == letters
+
+
+def test_languages_of_long_texts_copies_and_empty_tables(spark, none):
+    net = language.ByteNet(["de", "en"])
+    long_ = "these are words " * 100_000
+    df = spark.createDataFrame([(1, long_), (2, long_), (3, "these are words "), (3, None)], "doc_id bigint, text string")
+    rows = language.identify(df, net).orderBy("doc_id", F.desc("text")).collect()
+    assert (rows[0].lang_pred, rows[0].score) == (rows[1].lang_pred, rows[1].score)
+    assert len(rows) == 4 and language.identify(none, net).count() == 0
+
+
+def test_many_labels_share_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_IN_ALL", 60)
+    monkeypatch.setattr(language, "SAMPLE_OF_EACH", 2)
+    rows = [(i, f"text of language {i % 40} and number {i}", f"l{i % 40}") for i in range(800)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    net = language.train(df, steps=2)
+    assert sorted(net.labels) == sorted({f"l{i}" for i in range(40)})
+
+
+def test_one_row_of_each_group_stays(spark):
+    base, other = " ".join(WORDS[:30]), " ".join(WORDS[20:50])
+    near = base + " and more"
+    rows = [
+        (1, base, "a", None, 1), (1, base, "b", None, 2), (None, base, "c", None, 3), (None, near, "d", None, 4),
+        (None, other, "e", None, 5), (None, other, "f", None, 6), (4, near, "g", None, 7), (7, "", "h", None, 8),
+        (None, "", "i", None, 9), (None, None, "j", None, 10), (None, " ", "k", None, 11), (9, "x y", "l", None, 12),
+    ]
+    df = spark.createDataFrame(rows, SCHEMA)
+    left = near_dedup.without_near_duplicates(df)
+    assert left.columns == df.columns
+    assert sorted(r.source for r in left.collect()) == list("aehijkl")
+
+
+def test_a_group_of_edited_copies_just_below_the_similarity(spark):
+    """No base, most pairs apart: every link must be found."""
+    rng = random.Random(21)
+    base = sentence(rng, 120).split()
+    texts = []
+    for _ in range(120):
+        words = list(base)
+        for _ in range(4):
+            words[rng.randrange(len(words))] = rng.choice(WORDS) + "x"
+        texts.append(" ".join(words))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    label = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]) and label[i] != label[j]:
+                a, b = sorted((label[i], label[j]))
+                label = [a if x == b else x for x in label]
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(df).collect()}
+    assert got == dict(enumerate(label))
