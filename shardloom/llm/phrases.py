@@ -37,6 +37,8 @@ BUDGET = 1 << 20
 # Text gathered before it becomes lots, and words of a lot.
 LOT_BYTES = 1 << 22
 LOT_WORDS = 1 << 19
+# Frequent words are broadcast to the lots' dictionaries up to so many bytes; more are shuffled.
+BROADCAST_BYTES = 1 << 26
 # Tasks that rank a language's phrases before one takes the best of each.
 RANKERS = 64
 
@@ -259,8 +261,8 @@ def _blobs(windows: np.ndarray, group: np.ndarray, depth: np.ndarray) -> pa.Reco
     starts = np.flatnonzero(fresh)
     counts = np.diff(np.append(starts, len(order))).astype(np.int32)
     windows, group, depth = windows[starts], group[starts], depth[starts]
-    edges = np.flatnonzero(np.diff(group, prepend=-1))
-    ends = np.append(edges[1:], len(group))
+    edges = np.flatnonzero(np.diff(group, prepend=-1))  # groups are 0 or more
+    ends = np.append(edges, len(group))[1:]
     columns = np.concatenate([windows, counts[:, None]], axis=1).astype("<i4")
     return pa.RecordBatch.from_arrays(
         [
@@ -345,7 +347,9 @@ def phrase_counts(
     lots = kept(rows.mapInArrow(_gather, _LOTS), "lots")
     vocabulary, sizes = frequent_words(lots, min_count, budget)
     spread = lots.select("lot", "lang", F.posexplode("words").alias("at", "word"))
-    known = spread.join(vocabulary, ["lang", "word"]).groupBy("lot").agg(
+    size = vocabulary.agg(F.sum(F.octet_length("word") + 64)).first()[0] or 0
+    frequent = F.broadcast(vocabulary) if size <= BROADCAST_BYTES else vocabulary
+    known = spread.join(frequent, ["lang", "word"]).groupBy("lot").agg(
         F.collect_list(F.struct("at", "id", F.col("grp").cast("int").alias("grp"))).alias("known")
     )
     numbered = kept(lots.select("lot", "own", "size", "ids", "firsts").join(known, "lot"), "numbered_lots")

@@ -85,6 +85,7 @@ def docs(spark, rows):
 def test_counts_equal_plain_counting(spark, docs, rows, monkeypatch, budget, lot_words):
     monkeypatch.setattr(phrases, "LOT_WORDS", lot_words)
     monkeypatch.setattr(phrases, "LOT_BYTES", 4 * lot_words)
+    monkeypatch.setattr(phrases, "BROADCAST_BYTES", budget)
     counts, sizes = phrases.phrase_counts(docs, min_count=4, budget=budget)
     got = {(r.lang, tuple(r.words)): r.f for r in counts.collect()}
     plain = counted(rows)
@@ -124,6 +125,13 @@ def test_a_long_text_is_cut_up_without_seams(monkeypatch):
     assert int(np.sum(whole[3])) == sum(bool(piece) for piece in cut(data.decode()))
 
 
+def test_lots_without_a_phrase(spark):
+    """Frequent words that are never followed by one: nothing to deal out."""
+    rows = [(i, "yes.", "en", None, None) for i in range(9)] + [(9, "yes no", "en", None, None)]
+    counts, _ = phrases.phrase_counts(spark.createDataFrame(rows, SCHEMA).repartition(2), min_count=4)
+    assert [(r.words, r.f) for r in counts.collect()] == [(["yes"], 10)]
+
+
 def test_no_words(spark):
     for rows in ([], [(1, None, "en", None, None), (2, " ,", None, None, None)]):
         assert phrases.best_collocations(spark.createDataFrame(rows, SCHEMA)).collect() == []
