@@ -47,6 +47,8 @@ SIMILAR_PERCENT = 85
 BAND = 1.6
 # Choices of words, and the share of a band's smallest sets that need more than the first.
 CHOICES, NEEDY = 6, 0.05
+# Classes, 16 bytes each, that are broadcast to find their rows; more are shuffled.
+BROADCAST_CLASSES = 1 << 20
 # Rounds that attach what is apart to a bucket's largest component, at most.
 ATTACHING = 3
 
@@ -241,15 +243,15 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def _labels(texts: DataFrame, known: DataFrame, classes: DataFrame) -> DataFrame:
     """``(node, component)`` of all classes that are linked with another."""
     reps = known.select(F.col("doc_id").alias("rep"), "text_hash", "keys").join(
-        classes.select("rep", "text_hash"), ["rep", "text_hash"]
+        _small(classes.select("rep", "text_hash")), ["rep", "text_hash"]
     )
     at_key = Window.partitionBy("key")
     met = reps.select("rep", "text_hash", F.explode("keys").alias("key")).withColumns(
         {"low": F.min("rep").over(at_key), "high": F.max("rep").over(at_key)}
     )
     buckets = kept(met.filter("low != high").drop("high"), "buckets")
-    meeting = buckets.select(F.col("rep").alias("doc_id"), "text_hash").distinct()
-    keyed = texts.withColumn("text_hash", F.xxhash64("text")).join(meeting, ["doc_id", "text_hash"], "left_semi")
+    meeting = kept(buckets.select(F.col("rep").alias("doc_id"), "text_hash").distinct(), "meeting")
+    keyed = texts.withColumn("text_hash", F.xxhash64("text")).join(_small(meeting), ["doc_id", "text_hash"], "left_semi")
     rows = known.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
     if not rows.filter("rows > 1").isEmpty():  # texts are shuffled only where rows are repeated
         keyed = keyed.dropDuplicates(["doc_id", "text_hash"])
@@ -280,6 +282,10 @@ def _labels(texts: DataFrame, known: DataFrame, classes: DataFrame) -> DataFrame
         pairs = pairs_by_blocks(apart, sets, SIMILAR_PERCENT) if last else _with_largest(apart, len(compared))
 
 
+def _small(classes: DataFrame) -> DataFrame:
+    return F.broadcast(classes) if classes.count() <= BROADCAST_CLASSES else classes
+
+
 def _pair(a: Column, b: Column) -> list[Column]:
     return [F.greatest(a, b).alias("x"), F.least(a, b).alias("c")]
 

@@ -78,6 +78,7 @@ def rows():
 def test_components_equal_all_pairs(spark, rows, monkeypatch, attaching, block):
     monkeypatch.setattr(ngram_join, "ATTACHING", attaching)
     monkeypatch.setattr(sketches, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "BROADCAST_CLASSES", attaching)
     found = ngram_join.ngram_components(spark.createDataFrame(rows, SCHEMA).repartition(4))
     assert found.columns == ["doc_id", "n_shingles", "component_id"]
     assert sorted(map(tuple, found.collect()), key=repr) == joined(rows)
