@@ -176,14 +176,15 @@ def test_scratch_is_where_the_session_says(spark):
         assert scratch(spark, "x").startswith(base)
 
 
-@pytest.mark.parametrize("bits", [1, 3, 16])
-def test_skip_and_take_by_counting_buckets(spark, monkeypatch, bits):
+@pytest.mark.parametrize("bits,keys", [
+    (3, range(0, 150, 3)), (16, [-(2**63), -5, 0, 9, 10, 2**40, 2**40 + 1, 2**63 - 1]), (16, [7]),
+])
+def test_skip_and_take_by_counting_buckets(spark, monkeypatch, bits, keys):
     monkeypatch.setattr(rows, "BUCKET_BITS", bits)
-    for keys in (range(0, 150, 3), [-(2**63), -5, -4, 0, 9, 10, 2**40, 2**40 + 1, 2**63 - 1], [7]):
-        df = spark.createDataFrame([(k,) for k in keys], "pos bigint").repartition(3)
-        for n in (0, 1, 2, len(keys) - 1, len(keys), 99):
-            assert sorted(r.pos for r in rows.skip(df, n).collect()) == list(keys)[n:]
-            assert sorted(r.pos for r in rows.take(df, n).collect()) == list(keys)[:n]
+    df = spark.createDataFrame([(k,) for k in keys], "pos bigint").coalesce(2)
+    for n in (1, len(keys) - 1, len(keys)):
+        assert sorted(r.pos for r in rows.skip(df, n).collect()) == list(keys)[n:]
+        assert sorted(r.pos for r in rows.take(df, n).collect()) == list(keys)[:n]
     none = spark.createDataFrame([], "pos bigint")
     assert rows.skip(none, 1).count() == rows.take(none, 1).count() == 0
 
