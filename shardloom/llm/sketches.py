@@ -19,7 +19,7 @@ from shardloom.llm.text import mixed
 # 64-bit words of a sketch: four bits an element, between these.
 FEWEST_WORDS, MOST_WORDS = 1 << 4, 1 << 9
 # Members of a bucket that one task compares with as many others.
-BLOCK = 256
+BLOCK = 1 << 10
 
 _SALT = np.uint64(0x6C8E9CF570932BD5)
 
@@ -95,22 +95,40 @@ def one_of_equal(labelled: DataFrame) -> DataFrame:
     return labelled.join(one.select("key", "members"), "key")
 
 
-def pairs_by_blocks(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs ``(x, c)``, ``x > c``, of a bucket's members that could be similar.
+def dealt_blocks(apart: DataFrame) -> DataFrame:
+    """``(key, lo, hi, block, rep, label)``: members of a bucket in groups of two blocks.
 
-    ``apart`` has rows ``(key, rep, label, members)``, members of one label are no pair;
-    ``sets`` has ``(rep, n, bits)``. A bucket is cut into blocks, and any two blocks, or a
-    block with itself, are one group: no task holds more than two, however large the bucket.
+    ``apart`` has rows ``(key, rep, label, members)``. Any two members of different labels are in
+    one group of their bucket. Members of its largest label come last, and no two blocks of theirs
+    meet: rows grow with the members times the blocks of those outside of the largest label, not
+    with the square of the bucket.
     """
-    place = F.row_number().over(Window.partitionBy("key").orderBy("rep")) - 1
-    last = F.expr(f"cast((members - 1) div {BLOCK} as int)")
-    blocks = apart.withColumn("block", F.floor(place / BLOCK).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), last))
+    parts = apart.groupBy("key", "label").agg(F.count(F.lit(1)).alias("size"))
+    main = parts.groupBy("key").agg(F.max(F.struct("size", "label")).alias("top"))
+    order = [F.col("label") == F.col("top.label"), F.col("rep")]
+    place = F.row_number().over(Window.partitionBy("key").orderBy(*order)) - 1
+    last, last_outside = (
+        F.expr(f"cast(({n} - 1) div {BLOCK} as int)") for n in ("members", "members - top.size")
     )
-    grouped = blocks.select(
+    block = F.floor(place / BLOCK).cast("int")
+    reach = F.when(F.col("block") <= last_outside, last).otherwise(last_outside)
+    dealt = apart.join(main, "key").withColumn("block", block).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), reach))
+    )
+    return dealt.select(
         "key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
         "block", "rep", "label",
-    ).join(sets.select("rep", "n", "bits"), "rep")
+    )
+
+
+def pairs_by_blocks(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs ``(x, c)``, ``x > c``, of a bucket's members that could be similar.
+
+    ``apart`` has rows ``(key, rep, label, members)``, members of one label are no pair;
+    ``sets`` has ``(rep, n, bits)``. A bucket is cut into blocks, and two blocks, or a block with
+    itself, are one group: no task holds more than two, however large the bucket.
+    """
+    grouped = dealt_blocks(apart).join(sets.select("rep", "n", "bits"), "rep")
 
     def compare(table: pa.Table) -> pa.Table:
         return _compared(table, percent)

@@ -129,6 +129,20 @@ def test_bits_bound_the_difference():
         assert int(np.bitwise_count(unlike).sum()) <= apart <= sketches.most_unlike(len(a) + len(b), 85)
 
 
+def test_blocks_of_the_largest_component_do_not_meet(spark, monkeypatch):
+    monkeypatch.setattr(sketches, "BLOCK", 8)
+    rows = [(1, i, 0 if i % 100 else i) for i in range(1, 400)]  # three members outside of one component
+    rows += [(2, i, i) for i in range(20)] + [(3, 1, 1), (3, 2, 2)]
+    apart = sketches.one_of_equal(spark.createDataFrame(rows, "key bigint, rep bigint, label bigint"))
+    groups = {}
+    for r in sketches.dealt_blocks(apart).collect():
+        groups.setdefault((r.key, r.lo, r.hi), []).append((r.rep, r.label))
+    met = {(g[0], *sorted((a, b))) for g, of in groups.items() for a, x in of for b, y in of if x != y}
+    assert met == {(k, a, b) for k, a, x in rows for j, b, y in rows if j == k and a < b and x != y}
+    assert sum(len(of) for g, of in groups.items() if g[0] == 1) <= 2 * 400  # 19,900 for all blocks
+    assert max(map(len, groups.values())) <= 16
+
+
 def test_empty_table(spark):
     assert ngram_join.ngram_components(spark.createDataFrame([], SCHEMA)).collect() == []
 
