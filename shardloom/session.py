@@ -13,6 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shardloom.sources.paths import resolve
 
+# Python gets rows in batches of so many bytes. Spark's own 64 MB become several times as much in a
+# worker, where bytes turn into 64-bit numbers, and executors have a worker for each core and function.
+BATCH_BYTES = 1 << 22
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+_SPARKS_OWN = "67108864b"
+
 _shipped: set[str] = set()
 _registered: set[str] = set()
 _scratch_dirs: list[str] = []
@@ -22,7 +28,8 @@ def attach(spark: SparkSession) -> SparkSession:
     """Make the package importable in every Python worker and register its data source.
 
     The first is what ``--py-files`` does; here it also serves a driver that found the
-    package through its own ``sys.path``.
+    package through its own ``sys.path``. Batches for Python are held to ``BATCH_BYTES`` where
+    the session leaves Spark's default.
     """
     context = spark.sparkContext
     if context.applicationId not in _shipped:
@@ -38,6 +45,8 @@ def attach(spark: SparkSession) -> SparkSession:
         from shardloom.sources.npy import TokenShardSource
 
         spark.dataSource.register(TokenShardSource)
+        if spark.conf.get(_BATCH, _SPARKS_OWN) == _SPARKS_OWN:
+            spark.conf.set(_BATCH, str(BATCH_BYTES))
         _registered.add(session)
     return spark
 
@@ -73,10 +82,10 @@ def scratch(spark: SparkSession, name: str) -> str:
     return folder
 
 
-def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+def written(df: DataFrame, name: str, path: str | None = None, compression: str | None = None) -> DataFrame:
     """Cut the lineage: write ``df`` to ``path``, or to the scratch folder, and read it back."""
     path = path or scratch(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

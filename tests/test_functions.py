@@ -5,6 +5,7 @@ from collections import Counter
 from datetime import datetime
 from pathlib import Path
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import regex
@@ -23,7 +24,7 @@ from shardloom.functions.vocab import (
 from shardloom.operators import rows
 from shardloom.operators.checkpoints import latest_checkpoint, read_text_checkpoints
 from shardloom.plans.build import build
-from shardloom.session import scratch
+from shardloom.session import BATCH_BYTES, scratch
 from shardloom.sources.objects import list_objects, outcome, pending, read_text_objects
 from tests.packing import checksum
 from tests.test_jobs import shards_on_disk
@@ -236,3 +237,12 @@ def test_object_listing_query_equals_the_folder(spark):
     assert [(r.name, r.length) for r in rows_] == [
         ("documents.parquet", os.path.getsize(f"{SF_DIR}/documents.parquet"))
     ]
+
+
+def test_python_gets_batches_of_bounded_bytes(spark):
+    @F.arrow_udf("bigint")
+    def held(column: pa.Array) -> pa.Array:
+        return pa.array([column.nbytes] * len(column), pa.int64())
+
+    texts = spark.range(0, 6000, 1, 1).select(held(F.repeat(F.lit("x"), 4096)).alias("n"))
+    assert texts.agg(F.max("n")).first()[0] <= 2 * BATCH_BYTES
