@@ -268,18 +268,32 @@ def _blobs(windows: np.ndarray, group: np.ndarray, depth: np.ndarray) -> pa.Reco
         [
             pa.array(group[edges]),
             pa.array(depth[edges]),
-            pa.array([columns[s:e].T.tobytes() for s, e in zip(edges, ends, strict=True)], pa.binary()),
+            pa.array([_shrunk(columns[s:e]) for s, e in zip(edges, ends, strict=True)], pa.binary()),
         ],
         ["grp", "depth", "suffixes"],
     )
 
 
+def _shrunk(columns: np.ndarray) -> bytes:
+    """Rows of small integers by column and then by byte, where sorted and high bytes repeat."""
+    planes = np.ascontiguousarray(columns.T).view(np.uint8).reshape(LONGEST + 1, -1, 4)
+    data = planes.transpose(0, 2, 1).tobytes()
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _restored(blob: pa.Buffer) -> np.ndarray:
+    size = int.from_bytes(blob[:8].to_pybytes(), "little")
+    data = np.frombuffer(pa.decompress(blob[8:], size, codec="zstd"), np.uint8)
+    planes = data.reshape(LONGEST + 1, 4, -1).transpose(0, 2, 1)
+    return np.ascontiguousarray(planes).view("<i4").reshape(LONGEST + 1, -1)
+
+
 def _subtree(min_count: int):
     """Phrases of a group's subtree: its sorted suffixes, a node's leaves side by side."""
 
     def read(table: pa.Table) -> pa.Table:
         depth = table.column("depth")[0].as_py()
-        blobs = [np.frombuffer(b.as_buffer(), "<i4").reshape(LONGEST + 1, -1) for b in table.column("suffixes")]
+        blobs = [_restored(b.as_buffer()) for b in table.column("suffixes")]
         columns = np.concatenate(blobs, axis=1)
         windows, counts = columns[:LONGEST].T, columns[LONGEST].astype(np.int64)
         a, b, c = _packed(windows)
@@ -349,9 +363,9 @@ def phrase_counts(
     spread = lots.select("lot", "lang", F.posexplode("words").alias("at", "word"))
     size = vocabulary.agg(F.sum(F.octet_length("word") + 64)).first()[0] or 0
     frequent = F.broadcast(vocabulary) if size <= BROADCAST_BYTES else vocabulary
-    known = spread.join(frequent, ["lang", "word"]).groupBy("lot").agg(
-        F.collect_list(F.struct("at", "id", F.col("grp").cast("int").alias("grp"))).alias("known")
-    )
+    # Each word of a lot stays a row, frequent or not, so that rows follow the words of the lots.
+    entry = F.when(F.col("id").isNotNull(), F.struct("at", "id", F.col("grp").cast("int").alias("grp")))
+    known = spread.join(frequent, ["lang", "word"], "left").groupBy("lot").agg(F.collect_list(entry).alias("known"))
     numbered = kept(lots.select("lot", "own", "size", "ids", "firsts").join(known, "lot"), "numbered_lots")
 
     prefixes = Prefixes()

@@ -27,7 +27,7 @@ def freed(spark: SparkSession) -> Iterator[None]:
 def kept(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the folder of ``spark.checkpoint.dir``: lineage ends there."""
     with freed(df.sparkSession):
-        return written(df, name)
+        return written(df, name, compression="zstd")
 
 
 def clear_name(df: DataFrame, name: str) -> str:

@@ -135,3 +135,24 @@ def test_lots_without_a_phrase(spark):
 def test_no_words(spark):
     for rows in ([], [(1, None, "en", None, None), (2, " ,", None, None, None)]):
         assert phrases.best_collocations(spark.createDataFrame(rows, SCHEMA)).collect() == []
+
+
+def test_blobs_are_small_and_come_back(monkeypatch):
+    rng = np.random.default_rng(3)
+    windows = np.minimum(rng.zipf(1.3, (20_000, 5)), 60_000).astype(np.int32)
+    windows[rng.random(20_000) < 0.3, 3:] = -1
+    batch = phrases._blobs(windows, windows[:, 0] % 3, np.zeros(20_000, np.int64))
+    found = [phrases._restored(b.as_buffer()) for b in batch.column("suffixes")]
+    back = np.concatenate(found, axis=1)
+    each = Counter(map(tuple, windows.tolist()))
+    assert {tuple(c[:5]): c[5] for c in back.T.tolist()} == each
+    assert batch.column("suffixes").nbytes < 12 * len(each)  # 24 bytes each as they are
+
+
+def test_a_lot_without_frequent_words(spark):
+    rows = [(1, "a b " * 5, "en", "", 1), (2, "c d e", "fr", "", 2), (3, None, None, "", 3)]
+    counts, sizes = phrases.phrase_counts(spark.createDataFrame(rows, SCHEMA).repartition(2), min_count=4)
+    assert {(r.lang, *r.words): r.f for r in counts.collect() if len(r.words) < 3} == {
+        ("en", "a"): 5, ("en", "b"): 5, ("en", "a", "b"): 5, ("en", "b", "a"): 4,
+    }
+    assert {(r.lang, r.n) for r in sizes.collect()} == {("en", 10), ("fr", 3)}
