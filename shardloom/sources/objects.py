@@ -33,7 +33,7 @@ def list_objects(
         _relative(path, F.col("path")).alias("name"),
         F.col("modificationTime").alias("updated"),
         "length",
-    )
+    ).union(_empty(spark, path, suffix))
     return listed.filter(F.col("name").startswith(prefix) & F.col("name").endswith(suffix))
 
 
@@ -49,6 +49,7 @@ def read_text_objects(spark: SparkSession, path: str, suffix: str = ".txt") -> D
             F.decode("content", "UTF-8").alias("value"),
         )
         .filter(F.col("name").endswith(suffix))
+        .union(_empty(spark, path, suffix).withColumn("length", F.lit("")))
     )
 
 
@@ -105,6 +106,26 @@ def _binary(spark: SparkSession, path: str, glob: str) -> DataFrame:
     )
 
 
+def _empty(spark: SparkSession, path: str, suffix: str) -> DataFrame:
+    """``(name, updated, length)`` of objects without bytes, which Spark's file sources pass over."""
+    fs, root = resolve(path)
+    found: list[tuple] = []
+    if fs.get_file_info(root).type == pafs.FileType.Directory:
+        for info in fs.get_file_info(pafs.FileSelector(root, recursive=True)):
+            name = info.path[len(root.rstrip("/")) + 1 :]
+            hidden = any(part.startswith(("_", ".")) for part in name.split("/"))
+            if info.type == pafs.FileType.File and info.size == 0 and name.endswith(suffix) and not hidden:
+                found.append((name, info.mtime, 0))
+    names, times, sizes = zip(*found) if found else ((), (), ())
+    return spark.createDataFrame(
+        pa.table({
+            "name": pa.array(names, pa.string()),
+            "updated": pa.array(times, pa.timestamp("us", "UTC")),
+            "length": pa.array(sizes, pa.int64()),
+        })
+    )
+
+
 def _relative(path: str, column: Column) -> Column:
     # Spark lists absolute URLs; what follows the root's own path is the object's name.
     parsed = urlparse(path)
