@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shardloom.llm.graph import components
-from shardloom.llm.sketches import bit_sketch, could_be_similar, one_of_equal, pairs_by_blocks
+from shardloom.llm.sketches import bit_sketch, could_be_similar, of_pairs, one_of_equal, pairs_by_blocks
 from shardloom.llm.tables import clear_name, kept, quoted
 from shardloom.llm.text import (
     encoded,
@@ -303,7 +303,7 @@ def _with_largest(buckets: DataFrame, round_: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    small = sets.select("rep", "n", "set")
+    small = of_pairs(sets.select("rep", "n", "set"), pairs)
     left = pairs.join(small.select(F.col("rep").alias("c"), F.col("n").alias("c_n"), F.col("set").alias("c_set")), "c")
     both = left.join(small.select(F.col("rep").alias("x"), F.col("n").alias("x_n"), F.col("set").alias("x_set")), "x")
     found = both.filter(similar(F.col("x_set"), F.col("x_n"), F.col("c_set"), F.col("c_n")))

@@ -13,9 +13,10 @@ for some; a set with more stands under a further choice of words as well, so two
 both lack words meet there. Only those that lack words under every choice meet at empty words.
 
 Sets that meet are compared on the sets themselves: first with the least of their bucket, then
-with members of its largest component, and whatever is still apart by blocks of a bucket
-against blocks. There a second sketch, in which each element flips a single bit, leaves out
-pairs whose bits differ more often than similar sets' can. No pair that could be linked is left out.
+with members of its largest component, as long as that links members of the bucket, and
+whatever is still apart by blocks of a bucket against blocks. There a second sketch, in which
+each element flips a single bit, leaves out pairs whose bits differ more often than similar
+sets' can. No pair that could be linked is left out.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ from shardloom.llm.sketches import (
     bit_sketch,
     could_be_similar,
     most_unlike,
+    of_pairs,
     one_of_equal,
     pairs_by_blocks,
 )
@@ -261,7 +263,8 @@ def _labels(texts: DataFrame, known: DataFrame, classes: DataFrame) -> DataFrame
     pairs = buckets.filter("rep != low").select(F.col("rep").alias("x"), F.col("low").alias("c")).distinct()
     labels = texts.sparkSession.createDataFrame([], "node bigint, component bigint")
     compared: list[DataFrame] = []
-    apart, last = None, False
+    apart = active = None
+    last = False
     while True:
         if compared:
             pairs = pairs.join(reduce(DataFrame.union, compared), ["x", "c"], "left_anti")
@@ -274,12 +277,21 @@ def _labels(texts: DataFrame, known: DataFrame, classes: DataFrame) -> DataFrame
             labels = kept(components(links.union(labels.toDF("a", "b"))), "labels")
         if last:
             return labels
-        if found or apart is None:
-            apart = _apart(buckets, labels)
+        if apart is None:
+            apart = active = _apart(buckets, labels)
             if apart is None:
                 return labels
-        last = not found or len(compared) > ATTACHING
-        pairs = pairs_by_blocks(apart, sets, SIMILAR_PERCENT) if last else _with_largest(apart, len(compared))
+        elif found:  # buckets without a new link wait for the blocks
+            active = _still_apart(active, labels, "low != high and moved")
+        last = not found or active is None or len(compared) > ATTACHING
+        if not last:
+            pairs = _with_largest(active, len(compared))
+            continue
+        if len(compared) > 1:
+            apart = _still_apart(apart, labels, "low != high")
+            if apart is None:
+                return labels
+        pairs = pairs_by_blocks(apart, sets, SIMILAR_PERCENT)
 
 
 def _small(classes: DataFrame) -> DataFrame:
@@ -292,7 +304,7 @@ def _pair(a: Column, b: Column) -> list[Column]:
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs that are similar, on the sets themselves."""
-    small = sets.select("rep", "n", "set")
+    small = of_pairs(sets.select("rep", "n", "set"), pairs)
     x = small.select(F.col("rep").alias("x"), F.col("n").alias("x_n"), F.col("set").alias("x_set"))
     c = small.select(F.col("rep").alias("c"), F.col("n").alias("c_n"), F.col("set").alias("c_set"))
     common = F.size(F.array_intersect("x_set", "c_set")).cast("bigint")
@@ -314,6 +326,18 @@ def _apart(buckets: DataFrame, labels: DataFrame) -> DataFrame | None:
     return None if left.isEmpty() else left
 
 
+def _still_apart(apart: DataFrame, labels: DataFrame, which: str) -> DataFrame | None:
+    """Those of the buckets that ``which`` tells by their labels' bounds and whether one has ``moved``."""
+    new = apart.join(labels, F.col("rep") == F.col("node"), "left").select(
+        "key", "rep", F.coalesce("component", "rep").alias("label"), "members", F.col("label").alias("before")
+    )
+    facts = new.groupBy("key").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.max(F.expr("label != before")).alias("moved")
+    )
+    left = kept(new.drop("before").join(facts.filter(which), "key", "left_semi"), "apart")
+    return None if left.isEmpty() else left
+
+
 def _with_largest(apart: DataFrame, round_: int) -> DataFrame:
     """Members outside of a bucket's largest component with one of it, another one each round."""
     one = F.min(F.struct(F.xxhash64("rep", F.lit(round_)), "rep")).alias("one")

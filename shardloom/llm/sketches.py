@@ -20,6 +20,8 @@ from shardloom.llm.text import mixed
 FEWEST_WORDS, MOST_WORDS = 1 << 4, 1 << 9
 # Members of a bucket that one task compares with as many others.
 BLOCK = 1 << 10
+# Pairs whose ids, 16 bytes a pair, are broadcast to find their sets; for more, all sets are shuffled.
+BROADCAST_PAIRS = 1 << 19
 
 _SALT = np.uint64(0x6C8E9CF570932BD5)
 
@@ -81,6 +83,17 @@ def could_be_similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFra
     return described.filter(near("x_bits", "x_n", "c_bits", "c_n")).select("x", "c")
 
 
+def of_pairs(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The rows of ``sets`` that a join with ``pairs`` needs: what is in no pair is not shuffled.
+
+    ``pairs`` has rows ``(x, c)`` and is read several times.
+    """
+    if pairs.count() > BROADCAST_PAIRS:
+        return sets
+    ids = pairs.select(F.explode(F.array("x", "c")).alias("id")).distinct()
+    return sets.join(F.broadcast(ids), F.col("rep") == F.col("id"), "left_semi")
+
+
 def one_of_equal(labelled: DataFrame) -> DataFrame:
     """Members ``(key, rep, label)`` of buckets with several labels, and each one's ``members``.
 

@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shardloom.llm import ngram_join, sketches
 from shardloom.llm.near_dedup import shingle_sets
@@ -101,6 +102,39 @@ def test_a_group_of_edited_copies_without_its_base(spark):
     assert sorted(map(tuple, found.collect()), key=repr) == joined(rows)
 
 
+def test_rounds_go_on_where_the_last_one_found_links(spark, monkeypatch):
+    rng = random.Random(21)
+    base, pair = words(rng, 90), words(rng, 60)
+    texts = {i: (1, base[i:] if i else words(rng, 50)) for i in range(7)}  # all but 0 are linked
+    texts |= {10 + i: (2, words(rng, 50)) for i in range(6)} | {20 + i: (3, pair[i:]) for i in range(2)}
+    rows = [(i, " ".join(t), [key]) for i, (key, t) in texts.items()]
+    known = spark.createDataFrame(rows, "doc_id bigint, text string, keys array<bigint>")
+    known = known.withColumn("text_hash", F.xxhash64("text"))
+    given, attach = [], ngram_join._with_largest
+
+    def recorded(apart, round_):
+        given.append({r.key for r in apart.collect()})
+        return attach(apart, round_)
+
+    monkeypatch.setattr(ngram_join, "_with_largest", recorded)
+    classes = known.select(F.col("doc_id").alias("rep"), "text_hash")
+    found = ngram_join._labels(known.select("doc_id", "text"), known, classes)
+    assert sorted(map(tuple, found.collect())) == [(i, 1) for i in range(1, 7)] + [(20, 20), (21, 20)]
+    assert given == [{1, 2}, {1}]
+
+
+def test_only_sets_of_pairs_are_sent(spark, monkeypatch):
+    rows = [(i, 40, list(range(i // 2 * 100, i // 2 * 100 + 40 - i % 2))) for i in range(40)]
+    sets = spark.createDataFrame([(r, len(s), s) for r, _, s in rows], "rep bigint, n bigint, set array<bigint>")
+    pairs = spark.createDataFrame([(1, 0), (3, 2), (5, 2), (5, 4)], "x bigint, c bigint")
+    assert sorted(r.rep for r in sketches.of_pairs(sets, pairs).collect()) == [0, 1, 2, 3, 4, 5]
+    for most in (4, 3):
+        monkeypatch.setattr(sketches, "BROADCAST_PAIRS", most)
+        linked = ngram_join._verified(pairs, sets)
+        assert ("LeftSemi" in linked._jdf.queryExecution().toString()) == (most == 4)
+        assert sorted(map(tuple, linked.collect())) == [(1, 0), (3, 2), (5, 4)]
+
+
 def pairs_around_the_threshold(rng, trials, smallest=1, largest=600):
     for _ in range(trials):
         small = rng.randint(smallest, largest)
