@@ -249,7 +249,7 @@ def _labels(texts: DataFrame, known: DataFrame, classes: DataFrame) -> DataFrame
     )
     at_key = Window.partitionBy("key")
     met = reps.select("rep", "text_hash", F.explode("keys").alias("key")).withColumns(
-        {"low": F.min("rep").over(at_key), "high": F.max("rep").over(at_key)}
+        {"low": F.min("rep").over(at_key), "high": F.max("rep").over(at_key), "size": F.count("rep").over(at_key)}
     )
     buckets = kept(met.filter("low != high").drop("high"), "buckets")
     meeting = kept(buckets.select(F.col("rep").alias("doc_id"), "text_hash").distinct(), "meeting")
@@ -263,13 +263,12 @@ def _labels(texts: DataFrame, known: DataFrame, classes: DataFrame) -> DataFrame
     pairs = buckets.filter("rep != low").select(F.col("rep").alias("x"), F.col("low").alias("c")).distinct()
     labels = texts.sparkSession.createDataFrame([], "node bigint, component bigint")
     compared: list[DataFrame] = []
-    apart = active = None
-    last = False
+    near, apart, active, last = sets, None, None, False
     while True:
         if compared:
             pairs = pairs.join(reduce(DataFrame.union, compared), ["x", "c"], "left_anti")
         if not last:
-            pairs = could_be_similar(pairs, sets, SIMILAR_PERCENT)
+            pairs = could_be_similar(pairs, near, SIMILAR_PERCENT)
         compared.append(kept(pairs, "pairs"))
         links = kept(_verified(compared[-1], sets), "links")
         found = not links.isEmpty()
@@ -285,7 +284,8 @@ def _labels(texts: DataFrame, known: DataFrame, classes: DataFrame) -> DataFrame
             active = _still_apart(active, labels, "low != high and moved")
         last = not found or active is None or len(compared) > ATTACHING
         if not last:
-            pairs = _with_largest(active, len(compared))
+            pairs = kept(_with_largest(active, len(compared)), "candidates")
+            near = of_pairs(sets, pairs)
             continue
         if len(compared) > 1:
             apart = _still_apart(apart, labels, "low != high")
@@ -318,8 +318,12 @@ def _fitting(n: Column, m: Column) -> Column:
 
 
 def _apart(buckets: DataFrame, labels: DataFrame) -> DataFrame | None:
-    """Buckets with several components, their members labelled; of equal buckets one."""
-    labelled = buckets.join(labels, F.col("rep") == F.col("node"), "left").withColumn(
+    """Buckets with several components, their members labelled; of equal buckets one.
+
+    Members that have been compared with all others, the least ones, are left out.
+    """
+    open_ = buckets.filter("size > 2 and rep != low")
+    labelled = open_.join(labels, F.col("rep") == F.col("node"), "left").withColumn(
         "label", F.coalesce("component", "rep")
     )
     left = kept(one_of_equal(labelled.select("key", "rep", "label")), "apart")

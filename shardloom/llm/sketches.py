@@ -97,14 +97,17 @@ def of_pairs(sets: DataFrame, pairs: DataFrame) -> DataFrame:
 def one_of_equal(labelled: DataFrame) -> DataFrame:
     """Members ``(key, rep, label)`` of buckets with several labels, and each one's ``members``.
 
-    Of buckets with the same members, by 128 bits, one is enough.
+    Of buckets with the same members, by 128 bits, one is enough. A member that comes twice counts
+    twice: hashes are added up, by halves so that sums fit.
     """
-    content = [F.bit_xor(F.xxhash64("rep", F.lit(salt))).alias(f"of{salt}") for salt in (1, 2)]
+    hashes = [F.xxhash64("rep", F.lit(salt)) for salt in (1, 2)]
+    halves = [half for h in hashes for half in (F.shiftright(h, 32), h.bitwiseAND(F.lit((1 << 32) - 1)))]
+    content = {f"of{i}": F.sum(half) for i, half in enumerate(halves)}
     facts = labelled.groupBy("key").agg(
         F.min("label").alias("least"), F.max("label").alias("greatest"), F.count(F.lit(1)).alias("members"),
-        *content,
+        *[total.alias(name) for name, total in content.items()],
     )
-    one = facts.filter("least != greatest").groupBy("of1", "of2", "members").agg(F.min("key").alias("key"))
+    one = facts.filter("least != greatest").groupBy(*content, "members").agg(F.min("key").alias("key"))
     return labelled.join(one.select("key", "members"), "key")
 
 

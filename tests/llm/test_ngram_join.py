@@ -102,10 +102,33 @@ def test_a_group_of_edited_copies_without_its_base(spark):
     assert sorted(map(tuple, found.collect()), key=repr) == joined(rows)
 
 
+def test_buckets_whose_members_come_twice_are_not_equal(spark):
+    rows = [(key, rep, rep) for key, reps in {1: (1, 2), 2: (3, 4), 3: (1, 2)}.items() for rep in reps * 2]
+    one = sketches.one_of_equal(spark.createDataFrame(rows, "key bigint, rep bigint, label bigint"))
+    assert sorted({(r.key, r.members) for r in one.collect()}) == [(1, 4), (2, 4)]
+
+
+def test_the_least_of_a_bucket_is_compared_once(spark, monkeypatch):
+    """It has met all others: buckets of two are settled, of larger ones the others are left."""
+    rng = random.Random(6)
+    sizes = {1: 2, 2: 2, 3: 4, 4: 3}
+    rows = [(10 * key + i, " ".join(words(rng, 50)), [key]) for key, n in sizes.items() for i in range(n)]
+    known = spark.createDataFrame(rows, "doc_id bigint, text string, keys array<bigint>")
+    known = known.withColumn("text_hash", F.xxhash64("text"))
+    given, blocks = [], ngram_join.pairs_by_blocks
+    monkeypatch.setattr(
+        ngram_join, "pairs_by_blocks",
+        lambda apart, *rest: given.extend(r.rep for r in apart.collect()) or blocks(apart, *rest),
+    )
+    classes = known.select(F.col("doc_id").alias("rep"), "text_hash")
+    assert ngram_join._labels(known.select("doc_id", "text"), known, classes).isEmpty()
+    assert sorted(given) == [31, 32, 33, 41, 42]
+
+
 def test_rounds_go_on_where_the_last_one_found_links(spark, monkeypatch):
     rng = random.Random(21)
     base, pair = words(rng, 90), words(rng, 60)
-    texts = {i: (1, base[i:] if i else words(rng, 50)) for i in range(7)}  # all but 0 are linked
+    texts = {i: (1, base[i:] if i > 1 else words(rng, 50)) for i in range(8)}  # 2 to 7 are linked
     texts |= {10 + i: (2, words(rng, 50)) for i in range(6)} | {20 + i: (3, pair[i:]) for i in range(2)}
     rows = [(i, " ".join(t), [key]) for i, (key, t) in texts.items()]
     known = spark.createDataFrame(rows, "doc_id bigint, text string, keys array<bigint>")
@@ -119,7 +142,7 @@ def test_rounds_go_on_where_the_last_one_found_links(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "_with_largest", recorded)
     classes = known.select(F.col("doc_id").alias("rep"), "text_hash")
     found = ngram_join._labels(known.select("doc_id", "text"), known, classes)
-    assert sorted(map(tuple, found.collect())) == [(i, 1) for i in range(1, 7)] + [(20, 20), (21, 20)]
+    assert sorted(map(tuple, found.collect())) == [(i, 2) for i in range(2, 8)] + [(20, 20), (21, 20)]
     assert given == [{1, 2}, {1}]
 
 
